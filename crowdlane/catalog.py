@@ -984,9 +984,9 @@ def _(d: Data) -> DataFrame:
 
 
 def _probe_stream(d: Data) -> DataFrame:
-    """The event file as a stream of measurement rows."""
+    """The event file as a stream of measurement rows; a stream source takes a pattern, not a file."""
     source = d.read("events")
-    arriving = d.spark.readStream.schema(source.schema).parquet(f"{d.sf_dir}/events.parquet")
+    arriving = d.spark.readStream.schema(source.schema).parquet(f"{d.sf_dir}/event[s].parquet")
     return standins.meas_from(d.spark, arriving)
 
 
@@ -1046,7 +1046,7 @@ def _(d: Data) -> DataFrame:
 @query("stream_upsert_events")
 def _(d: Data) -> DataFrame:
     source = d.read("orders")
-    arriving = d.spark.readStream.schema(source.schema).parquet(f"{d.sf_dir}/orders.parquet")
+    arriving = d.spark.readStream.schema(source.schema).parquet(f"{d.sf_dir}/order[s].parquet")
     listed = d.spark.sql(standins.SCHED, orders=arriving, events=d.read("events"))
     live = Data(d.spark, d.sf_dir)
     live.__dict__["events"] = listed

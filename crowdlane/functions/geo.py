@@ -25,8 +25,8 @@ def haversine_miles(lat1: Column, lng1: Column, lat2: Column, lng2: Column, form
     a = F.pow(F.sin(half_lat), F.lit(2)) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
         F.sin(half_lng), F.lit(2)
     )
-    # a can leave [0, 1] by rounding for antipodal points
-    a = F.least(F.greatest(a, F.lit(0.0)), F.lit(1.0))
+    # rounding can lift it above 1 for antipodal points; NULL stays NULL
+    a = F.when(a > 1, 1.0).otherwise(a)
     arc = F.asin(F.sqrt(a)) if form == "asin" else F.atan2(F.sqrt(a), F.sqrt(1 - a))
     return arc * (2 * EARTH_RADIUS_MILES)
 

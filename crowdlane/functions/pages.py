@@ -16,32 +16,46 @@ ENTITIES = [
     ("&amp;", "&"),
 ]
 
+
+
+def _has_class(name: str) -> str:
+    """Pattern of a class attribute with this token."""
+    return rf"[^>]*\bclass\s*=\s*[\"'][^\"']*(?<![\w-]){name}(?![\w-])"
+
+
+INSIDE_ITEM = r"(?:(?!</li>).)*?"
+VALUE = rf"<span\b{_has_class('info-list-value')}[^>]*>(.*?)</span>"
+
 H1 = r"(?is)<h1\b[^>]*>(.*?)</h1>"
-DETAIL_LIST = r"(?is)(<ul\b[^>]*\bclass\s*=\s*[\"'][^\"']*\bdetail-info\b.*?</ul>)"
+DETAIL_LIST = rf"(?is)(<ul\b{_has_class('detail-info')}.*?</ul>)"
 DETAIL_TAG = r"(?is)^(<ul\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>)"
-LIST_ITEM = r"(?is)(<li\b.*?</li>)"
-ITEM_TAG = r"(?is)^(<li\b[^>]*>)"
-VALUE_SPAN = r"(?is)<span\b[^>]*\bclass\s*=\s*[\"'][^\"']*\binfo-list-value\b[^>]*>(.*?)</span>"
-LINK = r"(?is)<a\b([^>]*)>(.*?)</a>"
+WEBSITE_LINK = rf"(?is)<li\b{_has_class('website')}[^>]*>{INSIDE_ITEM}<a\b([^>]*)>(.*?)</a>"
+
+
+def _field_pattern(name: str) -> str:
+    """Value of the list item with this data-name."""
+    return rf"(?is)<li\b[^>]*\bdata-name\s*=\s*[\"']{name}[\"'][^>]*>{INSIDE_ITEM}{VALUE}"
 
 
 def unescape(c: Column) -> Column:
     """Decode decimal and the common named character references."""
-    codes = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#0*(\d{1,6});"), F.lit(1)))
-    out = F.aggregate(
-        codes,
-        c,
-        lambda acc, code: F.regexp_replace(
-            acc,
-            F.concat(F.lit("&#0*"), code, F.lit(";")),
-            F.regexp_replace(
-                F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32"), r"([\\$])", r"\\$1"
-            ),
-        ),
-    )
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+
+    def character(code: Column) -> Column:
+        char = F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
+        return F.regexp_replace(char, r"([\\$])", r"\\$1")
+
+    def decoded(s: Column) -> Column:
+        codes = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#0*(\d{1,6});"), F.lit(1)))
+        out = F.aggregate(
+            codes,
+            s,
+            lambda acc, code: F.regexp_replace(acc, F.concat(F.lit("&#0*"), code, F.lit(";")), character(code)),
+        )
+        for name, char in ENTITIES:
+            out = F.replace(out, F.lit(name), F.lit(char))
+        return F.when(s.contains("&"), out).otherwise(s)
+
+    return text.let(c, decoded)
 
 
 def inner_text(html: Column) -> Column:
@@ -51,9 +65,9 @@ def inner_text(html: Column) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    double = F.regexp_extract(tag, rf'(?is)\b{name}\s*=\s*"([^"]*)"', 1)
-    single = F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*'([^']*)'", 1)
-    return unescape(F.when(double != "", double).otherwise(single))
+    # one of the two groups is empty
+    quoted = rf"(?is)\b{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+    return unescape(F.concat(F.regexp_extract(tag, quoted, 1), F.regexp_extract(tag, quoted, 2)))
 
 
 def page_title(html: Column | str) -> Column:
@@ -63,53 +77,50 @@ def page_title(html: Column | str) -> Column:
 
 
 def _last(array: Column) -> Column:
-    return F.get(array, F.size(array) - 1)
+    return F.try_element_at(array, F.lit(-1))
 
 
 def page_fields(pages: DataFrame, year: int) -> DataFrame:
     """One event row per page (page_id, url, html); pages without a detail list are dropped."""
     listed = pages.withColumn("_list", F.regexp_extract("html", DETAIL_LIST, 1)).filter(F.col("_list") != "")
-    items = F.transform(
-        F.regexp_extract_all("_list", F.lit(LIST_ITEM), F.lit(1)),
-        lambda li: F.struct(
-            attribute(F.regexp_extract(li, ITEM_TAG, 1), "data-name").alias("name"),
-            attribute(F.regexp_extract(li, ITEM_TAG, 1), "class").alias("cls"),
-            F.when(li.rlike(VALUE_SPAN), inner_text(F.regexp_extract(li, VALUE_SPAN, 1))).alias("value"),
-            F.when(li.rlike(LINK), attribute(F.regexp_extract(li, LINK, 1), "href")).alias("href"),
-            F.lower(inner_text(F.regexp_extract(li, LINK, 2))).alias("link_text"),
-        ),
-    )
-    parts = listed.select(
-        "page_id",
-        "url",
-        page_title("html").alias("event_name"),
-        attribute(F.regexp_extract("_list", DETAIL_TAG, 1), "data-gtm-vars").alias("_gtm"),
-        items.alias("_items"),
-    )
 
+    # of several items with one name, or several links of one kind, the last counts
     def field(name: str) -> Column:
-        return _last(F.filter("_items", lambda i: (i["name"] == name) & i["value"].isNotNull()))["value"]
+        found = F.regexp_extract_all("_list", F.lit(_field_pattern(name)), F.lit(1))
+        return text.let(_last(found), lambda v: F.when(v.isNotNull(), inner_text(v)))
 
-    # a text naming tickets is a ticket link even if it also says "website"
-    def is_ticket(i: Column) -> Column:
-        return i["link_text"].contains("ticket")
-
-    links = F.filter(
-        "_items", lambda i: F.array_contains(F.split(i["cls"], r"\s+"), "website") & i["href"].isNotNull()
+    links = F.transform(
+        F.arrays_zip(
+            F.regexp_extract_all("_list", F.lit(WEBSITE_LINK), F.lit(1)).alias("tag"),
+            F.regexp_extract_all("_list", F.lit(WEBSITE_LINK), F.lit(2)).alias("body"),
+        ),
+        lambda a: F.struct(
+            attribute(a["tag"], "href").alias("href"), F.lower(inner_text(a["body"])).alias("link_text")
+        ),
     )
-    ticket = _last(F.filter(links, is_ticket))["href"]
-    website = _last(F.filter(links, lambda i: ~is_ticket(i) & i["link_text"].contains("website")))["href"]
-    fields = parts.select(
+    parts = listed.select(
         "page_id",
         "url",
-        "event_name",
-        text.extract_category("_gtm").alias("category"),
+        page_title("html").alias("event_name"),
+        text.extract_category(attribute(F.regexp_extract("_list", DETAIL_TAG, 1), "data-gtm-vars")).alias("category"),
         *[
             field(n).alias(f"_{n}")
             for n in ("dates", "time", "location", "address", "host", "price", "phone", "email")
         ],
-        ticket.alias("ticket_url"),
-        website.alias("website_url"),
+        links.alias("_links"),
+    )
+
+    # a text naming tickets is a ticket link even if it also says "website"
+    def is_ticket(a: Column) -> Column:
+        return a["link_text"].contains("ticket")
+
+    fields = parts.withColumns(
+        {
+            "ticket_url": _last(F.filter("_links", is_ticket))["href"],
+            "website_url": _last(F.filter("_links", lambda a: ~is_ticket(a) & a["link_text"].contains("website")))[
+                "href"
+            ],
+        }
     )
     out = fields.select(
         "page_id",

@@ -12,6 +12,7 @@ from crowdlane import schema
 from crowdlane.functions.clock import col
 from crowdlane.functions.geo import haversine_miles
 from crowdlane.functions.levels import traffic_level
+from crowdlane.functions.text import let
 
 MILES_PER_METER = 0.000621371
 METERS_PER_MILE = 1609.34
@@ -22,7 +23,13 @@ def parse_flow(payload: Column | str, lat: Column | None = None, lng: Column | N
 
     ``lat``/``lng`` (the probed point) stand in for coordinates a segment end lacks.
     """
-    flow = F.from_json(col(payload), schema.FLOW_PAYLOAD)["flowSegmentData"]
+    own_lat = lat if lat is not None else F.lit(None).cast("double")
+    own_lng = lng if lng is not None else F.lit(None).cast("double")
+    segment = F.from_json(col(payload), schema.FLOW_PAYLOAD)["flowSegmentData"]
+    return let(segment, lambda flow: _flow_answer(flow, own_lat, own_lng))
+
+
+def _flow_answer(flow: Column, own_lat: Column, own_lng: Column) -> Column:
     speed = F.coalesce(flow["currentSpeed"], F.lit(0.0))
     typical = F.coalesce(flow["freeFlowSpeed"], F.lit(0.0))
     seconds = F.coalesce(flow["currentTravelTime"], F.lit(0))
@@ -30,8 +37,6 @@ def parse_flow(payload: Column | str, lat: Column | None = None, lng: Column | N
     delay = (seconds - typical_seconds) / 60.0
     path = flow["coordinates"]["coordinate"]
     first, last = F.get(path, F.lit(0)), F.get(path, F.size(path) - 1)
-    own_lat = lat if lat is not None else F.lit(None).cast("double")
-    own_lng = lng if lng is not None else F.lit(None).cast("double")
     length = haversine_miles(
         F.coalesce(first["latitude"], own_lat),
         F.coalesce(first["longitude"], own_lng),
@@ -57,7 +62,11 @@ def parse_flow(payload: Column | str, lat: Column | None = None, lng: Column | N
 
 def parse_route(payload: Column | str) -> Column:
     """First route: length, speeds from length and time, delay against the no-traffic time."""
-    summary = F.get(F.from_json(col(payload), schema.ROUTE_PAYLOAD)["routes"], F.lit(0))["summary"]
+    first = F.get(F.from_json(col(payload), schema.ROUTE_PAYLOAD)["routes"], F.lit(0))["summary"]
+    return let(first, _route_answer)
+
+
+def _route_answer(summary: Column) -> Column:
     miles = F.coalesce(summary["lengthInMeters"], F.lit(0.0)) * MILES_PER_METER
     seconds = F.coalesce(summary["travelTimeInSeconds"], F.lit(0))
     free_seconds = F.coalesce(summary["noTrafficTravelTimeInSeconds"], seconds)
@@ -79,7 +88,10 @@ def parse_route(payload: Column | str) -> Column:
 
 def parse_matrix(payload: Column | str) -> Column:
     """First element of a distance matrix; both status fields must read OK."""
-    doc = F.from_json(col(payload), schema.MATRIX_PAYLOAD)
+    return let(F.from_json(col(payload), schema.MATRIX_PAYLOAD), _matrix_answer)
+
+
+def _matrix_answer(doc: Column) -> Column:
     element = F.get(F.get(doc["rows"], F.lit(0))["elements"], F.lit(0))
     miles = element["distance"]["value"] / METERS_PER_MILE
     typical_seconds = element["duration"]["value"]
@@ -103,11 +115,15 @@ def parse_matrix(payload: Column | str) -> Column:
 
 def parse_geocode(payload: Column | str) -> Column:
     """Best (first) geocoding result; also serves reverse lookups, whose location is NULL."""
-    best = F.get(F.from_json(col(payload), schema.GEOCODE_PAYLOAD), F.lit(0))
-    out = F.struct(
-        best["geometry"]["location"]["lat"].alias("latitude"),
-        best["geometry"]["location"]["lng"].alias("longitude"),
-        best["formatted_address"].alias("formatted_address"),
-        best["place_id"].alias("place_id"),
-    )
-    return F.when(best.isNotNull(), out)
+
+    def answer(best: Column) -> Column:
+        location = best["geometry"]["location"]
+        out = F.struct(
+            location["lat"].alias("latitude"),
+            location["lng"].alias("longitude"),
+            best["formatted_address"].alias("formatted_address"),
+            best["place_id"].alias("place_id"),
+        )
+        return F.when(best.isNotNull(), out)
+
+    return let(F.get(F.from_json(col(payload), schema.GEOCODE_PAYLOAD), F.lit(0)), answer)

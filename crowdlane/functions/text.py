@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from crowdlane.functions.clock import col
@@ -31,15 +33,19 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """Apply ``fn`` to a value that it mentions several times, computing the value once."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def _extract(c: Column, pattern: str, group: int) -> Column:
     return blank_to_null(F.regexp_extract(c, pattern, group))
 
 
 def _month_number(name: Column) -> Column:
-    low = F.lower(name)
-    whole = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), low)
-    short = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), low)
-    return F.nullif(F.when(whole > 0, whole).otherwise(short), F.lit(0))
+    short = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), name)
+    whole = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), name)
+    return F.nullif(F.greatest(short, whole), F.lit(0))
 
 
 def single_date(c: Column | str, year: Column | int) -> Column:
@@ -47,16 +53,24 @@ def single_date(c: Column | str, year: Column | int) -> Column:
 
     29 February needs a written year: without one it is not accepted, even in a leap year.
     """
-    s = strip(c)
-    month = _month_number(F.regexp_extract(s, ONE_DATE, 1))
-    day = _extract(s, ONE_DATE, 2).cast("int")
-    written = _extract(s, ONE_DATE, 3)
-    y = F.coalesce(written, (F.lit(year) if isinstance(year, int) else year).cast("string"))
-    iso = F.concat_ws(
-        "-", F.lpad(y, 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0")
-    )
-    dated = F.when(month.isNotNull() & day.isNotNull(), iso.try_cast("date"))
-    return F.when(written.isNull() & (month == 2) & (day == 29), None).otherwise(dated)
+    default_year = (F.lit(year) if isinstance(year, int) else year).cast("string")
+
+    def dated(p: Column) -> Column:
+        day = F.lpad(p["day"], 2, "0")
+        iso = F.concat(
+            F.coalesce(p["year"], default_year), F.lit("-"), F.lpad(p["month"].cast("string"), 2, "0"), F.lit("-"), day
+        )
+        leap_day_without_year = p["year"].isNull() & (p["month"] == 2) & (day == "29")
+        return F.when(F.coalesce(~leap_day_without_year, F.lit(True)), iso.try_cast("date"))
+
+    def parts(s: Column) -> Column:
+        return F.struct(
+            _month_number(F.lower(F.regexp_extract(s, ONE_DATE, 1))).alias("month"),
+            _extract(s, ONE_DATE, 2).alias("day"),
+            _extract(s, ONE_DATE, 3).alias("year"),
+        )
+
+    return let(let(strip(c), parts), dated)
 
 
 def parse_dates(c: Column | str, year: Column | int) -> Column:
@@ -66,38 +80,45 @@ def parse_dates(c: Column | str, year: Column | int) -> Column:
     days without year, one day without year, the whole text.
     """
     s = col(c)
-    full = F.regexp_extract_all(s, F.lit(FULL_DATE), F.lit(1))
-    n_full = F.size(full)
-    ranged = s.rlike(DAY_RANGE)
-    day = s.rlike(DAY_ONLY)
-    first = (
-        F.when(n_full >= 1, F.get(full, F.lit(0)))
-        .when(ranged, F.regexp_extract(s, DAY_RANGE, 1))
-        .when(day, F.regexp_extract(s, DAY_ONLY, 1))
-        .otherwise(s)
-    )
-    last = (
-        F.when(n_full >= 2, F.get(full, n_full - 1))
-        .when(n_full == 1, F.get(full, F.lit(0)))
-        .when(ranged, F.regexp_extract(s, DAY_RANGE, 2))
-        .otherwise(first)
-    )
-    start, end = single_date(first, year), single_date(last, year)
-    return F.struct(
-        start.alias("start_date"),
-        end.alias("end_date"),
-        F.coalesce(start != end, F.lit(False)).alias("is_multi_day"),
-    )
+
+    def chosen(full: Column) -> Column:
+        one_day = F.regexp_extract(s, DAY_ONLY, 1)
+        return (
+            F.when(F.size(full) > 0, F.array(F.get(full, F.lit(0)), F.get(full, F.size(full) - 1)))
+            .when(s.rlike(DAY_RANGE), F.array(F.regexp_extract(s, DAY_RANGE, 1), F.regexp_extract(s, DAY_RANGE, 2)))
+            .when(one_day != "", F.array(one_day, one_day))
+            .otherwise(F.array(s, s))
+        )
+
+    def result(dates: Column) -> Column:
+        start, end = F.get(dates, F.lit(0)), F.get(dates, F.lit(1))
+        return F.struct(
+            start.alias("start_date"),
+            end.alias("end_date"),
+            F.coalesce(start != end, F.lit(False)).alias("is_multi_day"),
+        )
+
+    texts = let(F.regexp_extract_all(s, F.lit(FULL_DATE), F.lit(1)), chosen)
+    return let(F.transform(texts, lambda t: single_date(t, year)), result)
 
 
 def single_time(c: Column) -> Column:
     """Seconds after midnight of a 12-hour clock time at the start of the text; else NULL."""
-    s = strip(c)
-    hour = _extract(s, ONE_TIME, 1).cast("int")
-    minute = F.coalesce(_extract(s, ONE_TIME, 2).cast("int"), F.lit(0))
-    pm = F.upper(F.regexp_extract(s, ONE_TIME, 3)) == "PM"
-    hour24 = F.when(pm & (hour != 12), hour + 12).when(~pm & (hour == 12), 0).otherwise(hour)
-    return F.when((hour24 < 24) & (minute < 60), (hour24 * 3600 + minute * 60).cast("int"))
+
+    def parts(s: Column) -> Column:
+        return F.struct(
+            _extract(s, ONE_TIME, 1).cast("int").alias("hour"),
+            F.coalesce(_extract(s, ONE_TIME, 2).cast("int"), F.lit(0)).alias("minute"),
+            (F.upper(F.regexp_extract(s, ONE_TIME, 3)) == "PM").alias("pm"),
+        )
+
+    def seconds(p: Column) -> Column:
+        # 12 AM is hour 0, 12 PM stays 12
+        hour = F.when(p["hour"] == 12, 0).otherwise(p["hour"]) + F.when(p["pm"], 12).otherwise(0)
+        fits = F.when(p["pm"], p["hour"] <= 12).otherwise(p["hour"] < 24)
+        return F.when(fits & (p["minute"] < 60), (hour * 3600 + p["minute"] * 60).cast("int"))
+
+    return let(let(strip(c), parts), seconds)
 
 
 def parse_time_range(c: Column | str) -> Column:
@@ -115,14 +136,16 @@ def parse_cost(c: Column | str) -> Column:
     The word "free" wins; otherwise the smallest and largest amount. A thousands
     comma splits a number, so "1,000" reads as 1 and 0.
     """
-    raw = col(c)
-    s = strip(F.when(raw != "", raw))
+    s = strip(blank_to_null(col(c)))
     free = s.rlike(r"(?i)\bfree\b")
-    amounts = F.transform(F.regexp_extract_all(s, F.lit(AMOUNT), F.lit(1)), lambda a: a.try_cast("double"))
-    return F.struct(
-        F.when(free, F.lit(0.0)).otherwise(F.array_min(amounts)).alias("cost_min"),
-        F.when(free, F.lit(0.0)).otherwise(F.array_max(amounts)).alias("cost_max"),
-        F.when(free, F.lit("Free")).otherwise(s).alias("cost_description"),
+    found = F.transform(F.regexp_extract_all(s, F.lit(AMOUNT), F.lit(1)), lambda a: a.try_cast("double"))
+    return let(
+        F.when(free, F.array(F.lit(0.0))).otherwise(found),
+        lambda amounts: F.struct(
+            F.array_min(amounts).alias("cost_min"),
+            F.array_max(amounts).alias("cost_max"),
+            F.when(free, F.lit("Free")).otherwise(s).alias("cost_description"),
+        ),
     )
 
 

@@ -97,7 +97,7 @@ def usage_7day_pivot(meas: DataFrame, as_of: str, days: int = 7) -> DataFrame:
         meas.filter(F.col("measurement_time") >= since)
         .groupBy(F.to_date("measurement_time").alias("date"))
         .pivot("data_source", SOURCES)
-        .agg(F.count("*"))
+        .agg(F.count(F.lit(1)))
         .fillna(0, SOURCES)
     )
     per_line = daily.rollup("date").agg(F.grouping("date").alias("_total"), *[F.sum(s).alias(s) for s in SOURCES])
