@@ -749,7 +749,7 @@ def _(d: Data) -> DataFrame:
 
 
 def _listing_pages(d: Data) -> DataFrame:
-    """A detail page for every listing."""
+    """A detail page for every listing; the small rows are spread before they grow to pages."""
 
     def item(name: str, value: Column) -> Column:
         body = F.concat(
@@ -761,7 +761,8 @@ def _listing_pages(d: Data) -> DataFrame:
         return F.coalesce(body, F.lit(""))
 
     number = F.col("listing_id").cast("string")
-    return d.listing.select(
+    spread = d.listing.repartition(d.spark.sparkContext.defaultParallelism, "listing_id")
+    return spread.select(
         F.col("listing_id").alias("page_id"),
         F.concat(F.lit("https://listings.example.org/e/"), number).alias("url"),
         F.concat(

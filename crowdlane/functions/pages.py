@@ -23,18 +23,15 @@ def _has_class(name: str) -> str:
     return rf"[^>]*\bclass\s*=\s*[\"'][^\"']*(?<![\w-]){name}(?![\w-])"
 
 
-INSIDE_ITEM = r"(?:(?!</li>).)*?"
-VALUE = rf"<span\b{_has_class('info-list-value')}[^>]*>(.*?)</span>"
-
+# Text between two tags is matched by a lazy dot, which Java runs without
+# recursion, so the length of a page does not matter.
 H1 = r"(?is)<h1\b[^>]*>(.*?)</h1>"
-DETAIL_LIST = rf"(?is)(<ul\b{_has_class('detail-info')}.*?</ul>)"
-DETAIL_TAG = r"(?is)^(<ul\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>)"
-WEBSITE_LINK = rf"(?is)<li\b{_has_class('website')}[^>]*>{INSIDE_ITEM}<a\b([^>]*)>(.*?)</a>"
-
-
-def _field_pattern(name: str) -> str:
-    """Value of the list item with this data-name."""
-    return rf"(?is)<li\b[^>]*\bdata-name\s*=\s*[\"']{name}[\"'][^>]*>{INSIDE_ITEM}{VALUE}"
+DETAIL_LIST = rf"(?is)<ul\b{_has_class('detail-info')}.*?</ul>"
+DETAIL_TAG = r"(?is)^<ul\b(?:[^>\"']+|\"[^\"]*\"|'[^']*')*>"
+LIST_ITEM = r"(?is)<li\b.*?</li>"
+VALUE_SPAN = rf"(?is)<span\b{_has_class('info-list-value')}[^>]*>.*?</span>"
+WEBSITE_ITEM = rf"(?is)^<li\b{_has_class('website')}"
+LINK = r"(?is)<a\b([^>]*)>(.*?)</a>"
 
 
 def unescape(c: Column) -> Column:
@@ -82,33 +79,34 @@ def _last(array: Column) -> Column:
 
 def page_fields(pages: DataFrame, year: int) -> DataFrame:
     """One event row per page (page_id, url, html); pages without a detail list are dropped."""
-    listed = pages.withColumn("_list", F.regexp_extract("html", DETAIL_LIST, 1)).filter(F.col("_list") != "")
-
-    # of several items with one name, or several links of one kind, the last counts
-    def field(name: str) -> Column:
-        found = F.regexp_extract_all("_list", F.lit(_field_pattern(name)), F.lit(1))
-        return text.let(_last(found), lambda v: F.when(v.isNotNull(), inner_text(v)))
-
-    links = F.transform(
-        F.arrays_zip(
-            F.regexp_extract_all("_list", F.lit(WEBSITE_LINK), F.lit(1)).alias("tag"),
-            F.regexp_extract_all("_list", F.lit(WEBSITE_LINK), F.lit(2)).alias("body"),
-        ),
-        lambda a: F.struct(
-            attribute(a["tag"], "href").alias("href"), F.lower(inner_text(a["body"])).alias("link_text")
-        ),
-    )
-    parts = listed.select(
+    listed = pages.withColumn("_list", F.regexp_extract("html", DETAIL_LIST, 0)).filter(F.col("_list") != "")
+    split = listed.select(
         "page_id",
         "url",
         page_title("html").alias("event_name"),
-        text.extract_category(attribute(F.regexp_extract("_list", DETAIL_TAG, 1), "data-gtm-vars")).alias("category"),
-        *[
-            field(n).alias(f"_{n}")
-            for n in ("dates", "time", "location", "address", "host", "price", "phone", "email")
-        ],
-        links.alias("_links"),
+        text.extract_category(attribute(F.regexp_extract("_list", DETAIL_TAG, 0), "data-gtm-vars")).alias("category"),
+        F.regexp_extract_all("_list", F.lit(LIST_ITEM), F.lit(0)).alias("_li"),
+    )
+    named = F.transform(
+        "_li",
+        lambda li: F.struct(
+            F.regexp_extract(li, r"(?is)^<li\b[^>]*\bdata-name\s*=\s*[\"']([^\"']*)", 1).alias("name"),
+            F.regexp_extract(li, VALUE_SPAN, 0).alias("span"),
+        ),
     )
+    links = F.transform(
+        F.filter("_li", lambda li: li.rlike(WEBSITE_ITEM) & li.rlike(LINK)),
+        lambda li: F.struct(
+            attribute(F.regexp_extract(li, LINK, 1), "href").alias("href"),
+            F.lower(inner_text(F.regexp_extract(li, LINK, 2))).alias("link_text"),
+        ),
+    )
+    parts = split.select("page_id", "url", "event_name", "category", named.alias("_named"), links.alias("_links"))
+
+    # of several items with one name, or several links of one kind, the last counts
+    def field(name: str) -> Column:
+        span = _last(F.filter("_named", lambda i: (i["name"] == name) & (i["span"] != "")))["span"]
+        return text.let(span, lambda v: F.when(v.isNotNull(), inner_text(v)))
 
     # a text naming tickets is a ticket link even if it also says "website"
     def is_ticket(a: Column) -> Column:
@@ -116,6 +114,10 @@ def page_fields(pages: DataFrame, year: int) -> DataFrame:
 
     fields = parts.withColumns(
         {
+            **{
+                f"_{n}": field(n)
+                for n in ("dates", "time", "location", "address", "host", "price", "phone", "email")
+            },
             "ticket_url": _last(F.filter("_links", is_ticket))["href"],
             "website_url": _last(F.filter("_links", lambda a: ~is_ticket(a) & a["link_text"].contains("website")))[
                 "href"
