@@ -897,7 +897,7 @@ def _(d: Data) -> DataFrame:
 
 @query("speed_impact")
 def _(d: Data) -> DataFrame:
-    return impact.speed_impact(d.events, d.meas, d.impact)
+    return impact.speed_impact(d.impact)
 
 
 @query("hours_from_event")

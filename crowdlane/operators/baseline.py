@@ -93,19 +93,12 @@ def mean_speed(slot: Column) -> Column:
     return F.try_divide(slot["sum_speed"].cast("double"), slot["n_speed"])
 
 
-def baseline_match_tiers(events: DataFrame, meas: DataFrame) -> DataFrame:
-    """Best available baseline of each event that has a start time.
+def best_tier(dow: Column, hour: Column) -> Column:
+    """Struct (tier, delay, speed) of the best baseline in ``profile``; NULL without any.
 
     Order: same weekday and hour, same hour, same weekday, whole venue; the first
-    with a mean delay wins, and its name is kept.
+    with a mean delay wins.
     """
-    e = events.filter(F.col("start_sec").isNotNull() & F.col("venue_id").isNotNull()).select(
-        "event_id",
-        "venue_id",
-        clock.day_of_week("event_start_date").alias("_dow"),
-        clock.hour_of("start_sec").alias("_hour"),
-    )
-    dow, hour = F.col("_dow"), F.col("_hour")
     tiers = [
         ("exact_match", exact_slot(dow, hour)),
         ("same_hour", hour_slot(hour)),
@@ -118,9 +111,16 @@ def baseline_match_tiers(events: DataFrame, meas: DataFrame) -> DataFrame:
             for name, s in tiers
         ]
     )
-    best = F.get(F.filter(choices, lambda c: c["delay"].isNotNull()), F.lit(0))
+    return F.get(F.filter(choices, lambda c: c["delay"].isNotNull()), F.lit(0))
+
+
+def baseline_match_tiers(events: DataFrame, meas: DataFrame) -> DataFrame:
+    """Best available baseline of each event that has a start time, with the tier's name."""
+    best = best_tier(clock.day_of_week("event_start_date"), clock.hour_of("start_sec"))
     return (
-        e.join(baseline_profile(meas), "venue_id", "left")
+        events.filter(F.col("start_sec").isNotNull() & F.col("venue_id").isNotNull())
+        .select("event_id", "venue_id", "event_start_date", "start_sec")
+        .join(baseline_profile(meas), "venue_id", "left")
         .select("event_id", "venue_id", best.alias("_best"))
         .select(
             "event_id",

@@ -49,7 +49,9 @@ def _with_event_traffic(located: DataFrame, meas: DataFrame, keys: list[str]) ->
     share, so no event is ever paired with single measurements.
     """
     linked = meas.filter(F.col(keys[0]).isNotNull())
-    own = linked.groupBy(*keys).agg(*_sums(), F.sum("distance_miles").alias("sum_distance"), F.count("distance_miles").alias("n_distance"))
+    own = linked.groupBy(*keys).agg(
+        *_sums(), F.sum("distance_miles").alias("sum_distance"), F.count("distance_miles").alias("n_distance")
+    )
     stray = linked.filter(F.col("is_baseline") == F.lit(True)).filter(F.col("venue_id").isNotNull())
     stray_by_venue = stray.groupBy("venue_id").agg(*_sums("v_"))
     stray_own = stray.groupBy(*keys, "venue_id").agg(*_sums("o_"))
@@ -88,6 +90,8 @@ def event_traffic_with_baseline(events: DataFrame, venues: DataFrame, meas: Data
 
     The means need baseline rows of the same weekday AND hour; the baseline row
     count takes rows of the same weekday OR hour, counted as n(day) + n(hour) - n(both).
+    Beyond ``VIEW_COLUMNS`` come the mean distance and the best baseline tier, which
+    cost nothing unless used.
     """
     dow, hour = clock.day_of_week("event_start_date"), clock.hour_of("start_sec")
     timed = events.filter("start_sec IS NOT NULL").select(
@@ -105,6 +109,7 @@ def event_traffic_with_baseline(events: DataFrame, venues: DataFrame, meas: Data
                 "baseline_measurements": n(day) + n(hr) - n(exact),
                 "baseline_avg_delay": baseline.mean_delay(exact),
                 "baseline_avg_speed": baseline.mean_speed(exact),
+                "best_baseline": baseline.best_tier(dow, hour),
             }
         )
         .drop("profile")
@@ -112,7 +117,7 @@ def event_traffic_with_baseline(events: DataFrame, venues: DataFrame, meas: Data
     return (
         _with_event_traffic(looked_up, meas, ["event_id"])
         .withColumn("impact_above_baseline", F.col("event_avg_delay") - F.col("baseline_avg_delay"))
-        .select(*VIEW_COLUMNS, "event_avg_distance")
+        .select(*VIEW_COLUMNS, "event_avg_distance", "best_baseline")
     )
 
 
@@ -211,16 +216,22 @@ def category_speed_impact(impact: DataFrame) -> DataFrame:
     )
 
 
-def speed_impact(events: DataFrame, meas: DataFrame, impact: DataFrame) -> DataFrame:
+def speed_impact(impact: DataFrame) -> DataFrame:
     """Minutes lost over the mean measured distance, event speed against the best baseline tier."""
-    tiers = baseline.baseline_match_tiers(events, meas).drop("venue_id")
     minutes = levels.speed_impact_minutes(
         F.col("event_avg_distance"), F.col("event_avg_speed"), F.col("baseline_speed")
     )
     return (
         impact.filter("event_measurements > 0")
-        .select("event_id", "event_measurements", "event_avg_distance", "event_avg_speed")
-        .join(tiers, "event_id", "left")
+        .select(
+            "event_id",
+            "event_measurements",
+            "event_avg_distance",
+            "event_avg_speed",
+            F.coalesce("best_baseline.tier", F.lit("none")).alias("baseline_tier"),
+            F.col("best_baseline.delay").alias("baseline_delay"),
+            F.col("best_baseline.speed").alias("baseline_speed"),
+        )
         .withColumn("speed_impact_minutes", minutes)
         .withColumn("impact_level", levels.impact_level("speed_impact_minutes", "summary"))
     )
@@ -243,7 +254,8 @@ def link_to_occurrences(meas: DataFrame, events: DataFrame) -> DataFrame:
     rows = meas.drop("event_id")
     near = linking.nearest_point(rows.filter(F.col("is_baseline") == F.lit(False)), points)
     rest = rows.filter(F.col("is_baseline").isNull() | (F.col("is_baseline") == F.lit(True)))
-    return near.select("*", "nearest.*").drop("nearest").unionByName(rest, allowMissingColumns=True)
+    linked = near.withColumn("is_baseline", F.lit(False)).select("*", "nearest.*").drop("nearest")
+    return linked.unionByName(rest, allowMissingColumns=True)
 
 
 def occurrence_impact(events: DataFrame, venues: DataFrame, meas: DataFrame) -> DataFrame:

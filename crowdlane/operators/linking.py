@@ -220,7 +220,9 @@ def match_events(meas: DataFrame, events: DataFrame, seconds: int = WINDOW_SECON
 def link_measurements(meas: DataFrame, events: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
     """All measurements, with ``event_id`` filled where a nearest event exists.
 
-    Rows that are not candidates pass by untouched and are not shuffled.
+    Rows that are not candidates pass by untouched and are not shuffled. The flag
+    of candidates is written as the constant it is, so a later filter on baseline
+    rows drops their whole branch from the plan.
     """
     points = event_points(events, F.col("event_id").alias("point"))
     others = meas.filter(
@@ -228,7 +230,7 @@ def link_measurements(meas: DataFrame, events: DataFrame, seconds: int = WINDOW_
     )
     linked = (
         nearest_point(unlinked_event_rows(meas), points, seconds)
-        .withColumn("event_id", F.col("nearest"))
+        .withColumns({"event_id": F.col("nearest"), "is_baseline": F.lit(False)})
         .select(meas.columns)
     )
     return others.unionByName(linked)
