@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 MICROS = 1_000_000
 WINDOW_SECONDS = 7200
@@ -22,6 +22,19 @@ def moment(as_of: datetime | str) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
+def measured_since(df: DataFrame, since: Column, after: bool = False) -> DataFrame:
+    """Rows measured at or after ``since`` (``after``: strictly later).
+
+    A table partitioned by ``measurement_date`` is bounded on that column too, so
+    that whole partitions are skipped.
+    """
+    t = F.col("measurement_time")
+    out = df.filter(t > since if after else t >= since)
+    if "measurement_date" in df.columns:
+        out = out.filter(F.col("measurement_date") >= F.to_date(since))
+    return out
+
+
 def micros(ts: Column | str) -> Column:
     """Microseconds since 1970 of a zone-less timestamp, independent of the session zone."""
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), col(ts))

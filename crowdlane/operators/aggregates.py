@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crowdlane.functions import clock
+from crowdlane.operators.skew import splittable
 
 SOURCES = ["google_maps", "tomtom"]
 
@@ -67,7 +68,7 @@ def api_usage_by_day(meas: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     """Calls per day and source since ``days`` days before the day of ``as_of``."""
     since = F.date_sub(F.to_date(clock.moment(as_of)), days).cast("timestamp_ntz")
     return (
-        meas.filter(F.col("measurement_time") >= since)
+        clock.measured_since(meas, since)
         .groupBy(F.to_date("measurement_time").alias("date"), "data_source")
         .agg(
             F.count("*").alias("api_calls"),
@@ -94,7 +95,7 @@ def usage_7day_pivot(meas: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     """
     since = F.date_sub(F.to_date(clock.moment(as_of)), days).cast("timestamp_ntz")
     daily = (
-        meas.filter(F.col("measurement_time") >= since)
+        clock.measured_since(meas, since)
         .groupBy(F.to_date("measurement_time").alias("date"))
         .pivot("data_source", SOURCES)
         .agg(F.count(F.lit(1)))
@@ -146,7 +147,7 @@ def hourly_activity(meas: DataFrame) -> DataFrame:
 
 def recent_collection_activity(meas: DataFrame, as_of: str, hours: int = 24) -> DataFrame:
     since = clock.moment(as_of) - F.make_interval(hours=F.lit(hours))
-    return hourly_activity(meas.filter(F.col("measurement_time") > since)).orderBy(
+    return hourly_activity(clock.measured_since(meas, since, after=True)).orderBy(
         F.desc("collection_hour"), "data_source"
     )
 
@@ -347,7 +348,7 @@ def event_avg_delay_by_venue(events: DataFrame, venues: DataFrame, meas: DataFra
     sited = venues.select("venue_id").join(per_venue, "venue_id")
     return (
         events.select("event_id", "event_name", "venue_id")
-        .join(sited, "venue_id")
+        .join(splittable(sited, "venue_id"), "venue_id")
         .select("event_id", "event_name", "avg_delay")
         .orderBy(F.desc_nulls_last("avg_delay"), "event_id")
     )

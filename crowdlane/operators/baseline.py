@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from crowdlane.functions import clock
 from crowdlane.functions.levels import traffic_level
+from crowdlane.operators.skew import splittable
 
 DAYS, HOURS = 7, 24
 DAY_SLOT = DAYS * HOURS
@@ -120,7 +121,7 @@ def baseline_match_tiers(events: DataFrame, meas: DataFrame) -> DataFrame:
     return (
         events.filter(F.col("start_sec").isNotNull() & F.col("venue_id").isNotNull())
         .select("event_id", "venue_id", "event_start_date", "start_sec")
-        .join(baseline_profile(meas), "venue_id", "left")
+        .join(splittable(baseline_profile(meas), "venue_id"), "venue_id", "left")
         .select("event_id", "venue_id", best.alias("_best"))
         .select(
             "event_id",

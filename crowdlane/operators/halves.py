@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crowdlane.functions import levels
 from crowdlane.functions.clock import MICROS
-from crowdlane.operators.linking import event_points, window_pairs
+from crowdlane.operators.linking import event_points, start_points, window_pairs
+from crowdlane.operators.skew import splittable
 
+KEY = ["venue_id", "start_us"]
 SUMS = ["n", "sum_delay", "n_delay", "max_delay", "sum_speed", "n_speed"]
 
 
@@ -23,40 +25,40 @@ def _sums() -> list[Column]:
 
 
 def split_in_halves(rows: DataFrame) -> DataFrame:
-    """Sums of the first n // 2 rows (``half`` 0) and of the rest (``half`` 1) of each event.
+    """Sums of the first n // 2 rows (``half`` 0) and of the rest (``half`` 1) of each start.
 
-    Rows are ordered by (t_us, measurement_id). An event is never sorted as one
-    group: rows are summed per second, the cut is found on the running count of
+    Rows are ordered by (t_us, measurement_id). The rows of a start are never sorted
+    as one group: rows are summed per second, the cut is found on the running count of
     seconds (at most 14,401 in a four-hour window), and single rows are ranked only
     inside the second the cut falls into.
     """
     second = F.floor(F.col("t_us") / MICROS).alias("_second")
-    per_second = rows.groupBy("event_id", second).agg(*_sums())
-    in_order = Window.partitionBy("event_id").orderBy("_second")
+    per_second = rows.groupBy(*KEY, second).agg(*_sums())
+    in_order = Window.partitionBy(*KEY).orderBy("_second")
     placed = per_second.withColumns(
         {
             "_upto": F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-            "_half_rows": F.floor(F.sum("n").over(Window.partitionBy("event_id")) / 2),
+            "_half_rows": F.floor(F.sum("n").over(Window.partitionBy(*KEY)) / 2),
         }
     )
     cut = (F.col("_upto") > F.col("_half_rows")) & (F.col("_upto") - F.col("n") < F.col("_half_rows"))
     whole = placed.filter(~cut).select(
-        "event_id", F.when(F.col("_upto") <= F.col("_half_rows"), 0).otherwise(1).alias("half"), *SUMS
+        *KEY, F.when(F.col("_upto") <= F.col("_half_rows"), 0).otherwise(1).alias("half"), *SUMS
     )
     left = placed.filter(cut).select(
-        "event_id", "_second", (F.col("_half_rows") - (F.col("_upto") - F.col("n"))).alias("_left")
+        *KEY, "_second", (F.col("_half_rows") - (F.col("_upto") - F.col("n"))).alias("_left")
     )
-    rank = F.row_number().over(Window.partitionBy("event_id", "_second").orderBy("t_us", "measurement_id"))
+    rank = F.row_number().over(Window.partitionBy(*KEY, "_second").orderBy("t_us", "measurement_id"))
     within = (
         rows.withColumn("_second", F.floor(F.col("t_us") / MICROS))
-        .join(left, ["event_id", "_second"])
+        .join(left, [*KEY, "_second"])
         .withColumn("half", F.when(rank <= F.col("_left"), 0).otherwise(1))
-        .groupBy("event_id", "half")
+        .groupBy(*KEY, "half")
         .agg(*_sums())
     )
     return (
         whole.unionByName(within)
-        .groupBy("event_id", "half")
+        .groupBy(*KEY, "half")
         .agg(*[(F.max if c == "max_delay" else F.sum)(c).alias(c) for c in SUMS])
     )
 
@@ -67,14 +69,13 @@ def impact_before_during(events: DataFrame, venues: DataFrame, meas: DataFrame)
     With an odd count the extra row belongs to the second half. A percentage over
     a zero speed is NULL.
     """
-    points = event_points(events, "event_id")
-    rows = window_pairs(points, meas, ["measurement_id", "delay_minutes", "avg_speed_mph"])
+    rows = window_pairs(start_points(events), meas, ["measurement_id", "delay_minutes", "avg_speed_mph"])
     halves = split_in_halves(rows)
 
     def pick(half: int, c: str) -> Column:
         return F.max(F.when(F.col("half") == half, F.col(c)))
 
-    per_event = halves.groupBy("event_id").agg(
+    per_start = halves.groupBy(*KEY).agg(
         F.sum("n").alias("total_measurements"),
         *[
             e
@@ -89,7 +90,7 @@ def impact_before_during(events: DataFrame, venues: DataFrame, meas: DataFrame)
     )
     gain = F.col("during_avg_delay") - F.col("before_avg_delay")
     drop = F.col("before_avg_speed") - F.col("during_avg_speed")
-    analysed = per_event.withColumns(
+    analysed = per_start.withColumns(
         {
             "delay_increase": gain,
             "delay_increase_pct": gain / (F.abs("before_avg_delay") + 1) * 100,
@@ -98,7 +99,7 @@ def impact_before_during(events: DataFrame, venues: DataFrame, meas: DataFrame)
             "impact_level": levels.impact_level(gain, "halves"),
         }
     )
-    names = events.select("event_id", "event_name", "category", "venue_id").join(
-        venues.select("venue_id", "venue_name"), "venue_id", "left"
+    sited = analysed.join(venues.select("venue_id", "venue_name"), "venue_id", "left")
+    return (
+        event_points(events, "event_id", "event_name", "category").join(splittable(sited, *KEY), KEY).drop(*KEY)
     )
-    return names.drop("venue_id").join(analysed, "event_id")

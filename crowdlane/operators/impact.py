@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from crowdlane.functions import clock, levels
 from crowdlane.operators import baseline, linking
+from crowdlane.operators.skew import splittable
 
 VIEW_COLUMNS = [
     "event_id",
@@ -57,7 +58,7 @@ def _with_event_traffic(located: DataFrame, meas: DataFrame, keys: list[str]) ->
     stray_own = stray.groupBy(*keys, "venue_id").agg(*_sums("o_"))
     joined = (
         located.join(own, keys, "left")
-        .join(stray_by_venue, "venue_id", "left")
+        .join(splittable(stray_by_venue, "venue_id"), "venue_id", "left")
         .join(stray_own, [*keys, "venue_id"], "left")
     )
 
@@ -82,7 +83,7 @@ def _located(events: DataFrame, venues: DataFrame, meas: DataFrame) -> DataFrame
         baseline.baseline_profile(meas), "venue_id", "left"
     )
     own = [c for c in events.columns if c not in ("venue_name", "latitude", "longitude")]
-    return events.select(own).join(site, "venue_id")
+    return events.select(own).join(splittable(site, "venue_id"), "venue_id")
 
 
 def event_traffic_with_baseline(events: DataFrame, venues: DataFrame, meas: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from crowdlane.functions import clock
 from crowdlane.functions.clock import MICROS, WINDOW_SECONDS
+from crowdlane.operators.skew import splittable
 
 
 def event_points(events: DataFrame, *carry: str | Column, default_sec: int | None = None) -> DataFrame:
@@ -27,6 +28,16 @@ def event_points(events: DataFrame, *carry: str | Column, default_sec: int | Non
     )
 
 
+def start_points(events: DataFrame) -> DataFrame:
+    """Distinct (venue_id, start_us) of the events.
+
+    What happens around a start is the same for all events that share it, so it is
+    worked out once and joined back: a pile of events at one place and time is not
+    multiplied with the measurements there.
+    """
+    return event_points(events).distinct()
+
+
 def window_pairs(
     points: DataFrame, meas: DataFrame, meas_cols: Sequence[str], seconds: int = WINDOW_SECONDS
 ) -> DataFrame:
@@ -117,7 +128,7 @@ def events_with_traffic(events: DataFrame, meas: DataFrame, seconds: int = WINDO
         | ((F.col("_shift") > 0) & (F.col("first_us") <= F.col("start_us") + reach))
     )
     return (
-        near.join(edges, ["venue_id", "_bin"])
+        near.join(splittable(edges, "venue_id", "_bin"), ["venue_id", "_bin"])
         .filter(hit)
         .groupBy("event_id", "event_start_date")
         .agg(F.lit(True).alias("has_traffic"))
@@ -195,7 +206,7 @@ def nearest_point(meas: DataFrame, points: DataFrame, seconds: int = WINDOW_SECO
     return (
         meas.withColumn("_t_us", t_us)
         .withColumn("_bin", clock.time_bin(F.col("_t_us"), seconds))
-        .join(by_bin, ["venue_id", "_bin"], "left")
+        .join(splittable(by_bin, "venue_id", "_bin"), ["venue_id", "_bin"], "left")
         .withColumn("nearest", F.array_min(distances)["point"])
         .drop("_t_us", "_bin", "_candidates")
     )
@@ -295,16 +306,15 @@ def before_during_after(events: DataFrame, venues: DataFrame, meas: DataFrame, k
     ``impact_minutes`` is after minus before; events lacking either are dropped
     unless ``keep_partial``.
     """
-    points = event_points(events, "event_id")
     offset = F.col("t_us") - F.col("start_us")
     edge = 15 * 60 * MICROS
 
     def mean(where: Column) -> Column:
         return F.avg(F.when(where, F.col("delay_minutes")))
 
-    per_event = (
-        window_pairs(points, meas, ["delay_minutes"])
-        .groupBy("event_id")
+    per_start = (
+        window_pairs(start_points(events), meas, ["delay_minutes"])
+        .groupBy("venue_id", "start_us")
         .agg(
             mean(offset < -edge).alias("avg_delay_before"),
             mean(F.abs(offset) <= edge).alias("avg_delay_during"),
@@ -314,9 +324,11 @@ def before_during_after(events: DataFrame, venues: DataFrame, meas: DataFrame, k
         .withColumn("impact_minutes", F.col("avg_delay_after") - F.col("avg_delay_before"))
     )
     if not keep_partial:
-        per_event = per_event.filter("impact_minutes IS NOT NULL")
+        per_start = per_start.filter("impact_minutes IS NOT NULL")
+    # venue columns join the few starts, so the events themselves are joined once
+    sited = per_start.join(venues.select("venue_id", "venue_name", "latitude", "longitude"), "venue_id")
     return (
-        events.select("event_id", "event_name", "event_start_date", "category", "venue_id")
-        .join(venues.select("venue_id", "venue_name", "latitude", "longitude"), "venue_id")
-        .join(per_event, "event_id")
+        event_points(events, "event_id", "event_name", "event_start_date", "category")
+        .join(splittable(sited, "venue_id", "start_us"), ["venue_id", "start_us"])
+        .drop("start_us")
     )

@@ -10,26 +10,34 @@ BUCKETS = 4096
 def with_position(df: DataFrame, key: str) -> DataFrame:
     """1-based position of each row in the order of a unique integer ``key``, and the row total.
 
-    Keys fall into equal-width ranges between the smallest and largest key. Ranges
-    are counted, the counts are accumulated over at most ``BUCKETS`` rows, and rows
-    are ranked only inside their range, so the table is never sorted as a whole.
+    The key span is cut into ``BUCKETS`` equal ranges and each of these again.
+    Cells are counted, the counts accumulated inside a range and over the ranges (at
+    most ``BUCKETS`` rows each), and rows are ranked only inside their cell. Keys
+    being unique, a cell of a 32-bit key holds at most 256 rows however the keys
+    cluster; the table is never sorted as a whole.
     """
     lo = df.agg(F.min(key)).scalar()
     width = df.agg(F.ceil((F.max(key) - F.min(key) + 1) / BUCKETS)).scalar()
-    placed = df.withColumn("_range", (F.col(key) - lo) - (F.col(key) - lo) % width)
-    counts = placed.groupBy("_range").agg(F.count("*").alias("_n"))
-    running = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    offsets = counts.select(
+    fine = df.agg(F.ceil((F.max(key) - F.min(key) + 1) / BUCKETS / BUCKETS)).scalar()
+    offset = F.col(key) - lo
+    placed = df.withColumns({"_range": offset - offset % width, "_cell": offset % width - offset % width % fine})
+    cells = placed.groupBy("_range", "_cell").agg(F.count("*").alias("_n"))
+    ranges = cells.groupBy("_range").agg(F.sum("_n").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(
         "_range",
-        F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"),
-        F.sum("_n").over(everything).alias("row_total"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy()).alias("row_total"),
     )
-    within = Window.partitionBy("_range").orderBy(key)
+    inside = Window.partitionBy("_range").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        cells.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).drop("_n").join(ranges, "_range")
+    )
+    rank = F.row_number().over(Window.partitionBy("_range", "_cell").orderBy(key))
     return (
-        placed.join(offsets, "_range")
-        .withColumn("position", F.col("_before") + F.row_number().over(within))
-        .drop("_range", "_before")
+        placed.join(offsets, ["_range", "_cell"])
+        .withColumn("position", F.col("_before") + F.col("_inside") + rank)
+        .drop("_range", "_cell", "_before", "_inside")
     )
 
 
