@@ -56,7 +56,7 @@ class Data:
 
     @cached_property
     def detail(self) -> DataFrame:
-        return impact.event_impact_detail(self.events, self.impact)
+        return impact.event_impact_detail(self.impact)
 
     @cached_property
     def analysed(self) -> DataFrame:

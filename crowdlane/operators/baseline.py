@@ -30,7 +30,7 @@ def baseline_cells(meas: DataFrame) -> DataFrame:
 
 
 def baseline_profile(meas: DataFrame) -> DataFrame:
-    """One row per venue: an array of 200 sums, addressed by slot.
+    """One row per venue: a map of at most 200 sums, addressed by slot.
 
     Slots 0-167 are weekday and hour, 168-174 weekday, 175-198 hour, 199 the whole
     venue. Facts are aggregated once to cells; all coarser levels come from the
@@ -60,30 +60,27 @@ def baseline_profile(meas: DataFrame) -> DataFrame:
         .when(F.col("_level") == 3, F.lit(VENUE_SLOT))
     )
     sums = F.struct("n", "sum_delay", "n_delay", "sum_speed", "n_speed")
-    by_slot = (
+    return (
         levels.select("venue_id", slot.cast("int").alias("slot"), sums.alias("sums"))
         .filter("slot IS NOT NULL")
         .groupBy("venue_id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("slot", "sums"))).alias("_by_slot"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("slot", "sums"))).alias("profile"))
     )
-    dense = F.transform(F.sequence(F.lit(0), F.lit(VENUE_SLOT)), lambda i: F.try_element_at("_by_slot", i))
-    return by_slot.select("venue_id", dense.alias("profile"))
-
-
-def exact_slot(dow: Column, hour: Column) -> Column:
-    return F.get("profile", dow * HOURS + hour)
-
 
-def day_slot(dow: Column) -> Column:
-    return F.get("profile", dow + DAY_SLOT)
 
+def with_slots(df: DataFrame, dow: Column, hour: Column) -> DataFrame:
+    """Replace ``profile`` by the four sums that can serve as baseline of the row.
 
-def hour_slot(hour: Column) -> Column:
-    return F.get("profile", hour + HOUR_SLOT)
-
-
-def venue_slot() -> Column:
-    return F.get("profile", F.lit(VENUE_SLOT))
+    They become columns of their own, so that each is looked up once however often
+    it is mentioned later.
+    """
+    slots = {
+        "exact": dow * HOURS + hour,
+        "same_hour": hour + HOUR_SLOT,
+        "same_day": dow + DAY_SLOT,
+        "whole_venue": F.lit(VENUE_SLOT),
+    }
+    return df.withColumns({name: F.try_element_at("profile", slot) for name, slot in slots.items()}).drop("profile")
 
 
 def mean_delay(slot: Column) -> Column:
@@ -94,35 +91,38 @@ def mean_speed(slot: Column) -> Column:
     return F.try_divide(slot["sum_speed"].cast("double"), slot["n_speed"])
 
 
-def best_tier(dow: Column, hour: Column) -> Column:
-    """Struct (tier, delay, speed) of the best baseline in ``profile``; NULL without any.
+def best_tier() -> Column:
+    """Struct (tier, delay, speed) of the best baseline among the slots; NULL without any.
 
     Order: same weekday and hour, same hour, same weekday, whole venue; the first
     with a mean delay wins.
     """
-    tiers = [
-        ("exact_match", exact_slot(dow, hour)),
-        ("same_hour", hour_slot(hour)),
-        ("same_day", day_slot(dow)),
-        ("venue_average", venue_slot()),
-    ]
-    choices = F.array(
-        *[
-            F.struct(F.lit(name).alias("tier"), mean_delay(s).alias("delay"), mean_speed(s).alias("speed"))
-            for name, s in tiers
-        ]
+
+    def tier(name: str, slot: str) -> Column:
+        s = F.col(slot)
+        return F.when(
+            s["n_delay"] > 0,
+            F.struct(F.lit(name).alias("tier"), mean_delay(s).alias("delay"), mean_speed(s).alias("speed")),
+        )
+
+    return F.coalesce(
+        tier("exact_match", "exact"),
+        tier("same_hour", "same_hour"),
+        tier("same_day", "same_day"),
+        tier("venue_average", "whole_venue"),
     )
-    return F.get(F.filter(choices, lambda c: c["delay"].isNotNull()), F.lit(0))
 
 
 def baseline_match_tiers(events: DataFrame, meas: DataFrame) -> DataFrame:
     """Best available baseline of each event that has a start time, with the tier's name."""
-    best = best_tier(clock.day_of_week("event_start_date"), clock.hour_of("start_sec"))
-    return (
+    timed = (
         events.filter(F.col("start_sec").isNotNull() & F.col("venue_id").isNotNull())
         .select("event_id", "venue_id", "event_start_date", "start_sec")
         .join(splittable(baseline_profile(meas), "venue_id"), "venue_id", "left")
-        .select("event_id", "venue_id", best.alias("_best"))
+    )
+    return (
+        with_slots(timed, clock.day_of_week("event_start_date"), clock.hour_of("start_sec"))
+        .select("event_id", "venue_id", best_tier().alias("_best"))
         .select(
             "event_id",
             "venue_id",

@@ -8,6 +8,8 @@ from crowdlane.functions import clock, levels
 from crowdlane.operators import baseline, linking
 from crowdlane.operators.skew import splittable
 
+LISTING_DETAILS = ["event_end_date", "sponsor", "cost_description"]
+
 VIEW_COLUMNS = [
     "event_id",
     "event_name",
@@ -91,46 +93,45 @@ def event_traffic_with_baseline(events: DataFrame, venues: DataFrame, meas: Data
 
     The means need baseline rows of the same weekday AND hour; the baseline row
     count takes rows of the same weekday OR hour, counted as n(day) + n(hour) - n(both).
-    Beyond ``VIEW_COLUMNS`` come the mean distance and the best baseline tier, which
-    cost nothing unless used.
+    Beyond ``VIEW_COLUMNS`` come listing details, the mean distance and the best
+    baseline tier; they cost nothing unless used and save later reports a join.
     """
     dow, hour = clock.day_of_week("event_start_date"), clock.hour_of("start_sec")
+    details = [c for c in LISTING_DETAILS if c in events.columns]
     timed = events.filter("start_sec IS NOT NULL").select(
-        "event_id", "event_name", "event_start_date", "start_sec", "category", "is_multi_day", "venue_id"
+        "event_id", "event_name", "event_start_date", "start_sec", "category", "is_multi_day", "venue_id", *details
     )
-    exact, day, hr = baseline.exact_slot(dow, hour), baseline.day_slot(dow), baseline.hour_slot(hour)
 
-    def n(slot: Column) -> Column:
-        return F.coalesce(slot["n"], F.lit(0))
+    def n(slot: str) -> Column:
+        return F.coalesce(F.col(slot)["n"], F.lit(0))
 
     looked_up = (
-        _located(timed, venues, meas)
+        baseline.with_slots(_located(timed, venues, meas), dow, hour)
         .withColumns(
             {
-                "baseline_measurements": n(day) + n(hr) - n(exact),
-                "baseline_avg_delay": baseline.mean_delay(exact),
-                "baseline_avg_speed": baseline.mean_speed(exact),
-                "best_baseline": baseline.best_tier(dow, hour),
+                "baseline_measurements": n("same_day") + n("same_hour") - n("exact"),
+                "baseline_avg_delay": baseline.mean_delay(F.col("exact")),
+                "baseline_avg_speed": baseline.mean_speed(F.col("exact")),
+                "best_baseline": baseline.best_tier(),
             }
         )
-        .drop("profile")
+        .drop("exact", "same_day", "same_hour", "whole_venue")
     )
     return (
         _with_event_traffic(looked_up, meas, ["event_id"])
         .withColumn("impact_above_baseline", F.col("event_avg_delay") - F.col("baseline_avg_delay"))
-        .select(*VIEW_COLUMNS, "event_avg_distance", "best_baseline")
+        .select(*VIEW_COLUMNS, *details, "event_avg_distance", "best_baseline")
     )
 
 
-def event_impact_detail(events: DataFrame, impact: DataFrame) -> DataFrame:
+def event_impact_detail(impact: DataFrame) -> DataFrame:
     """The impact rows with listing details, severity and data quality, newest first.
 
-    ``impact`` has one row per event and already names its venue.
+    ``impact`` has one row per event and already carries venue and details, so this
+    is a projection.
     """
-    extra = events.select("event_id", "event_end_date", "sponsor", "cost_description")
     return (
-        impact.join(extra, "event_id")
-        .select(
+        impact.select(
             "event_id",
             "event_name",
             "event_start_date",
@@ -265,19 +266,19 @@ def occurrence_impact(events: DataFrame, venues: DataFrame, meas: DataFrame) ->
     ``meas`` carries (event_id, occurrence_date) links. Here the baseline count,
     like the means, takes only rows of the same weekday and hour.
     """
-    exact = baseline.exact_slot(clock.day_of_week("occurrence_date"), clock.hour_of("start_sec"))
+    dow, hour = clock.day_of_week("occurrence_date"), clock.hour_of("start_sec")
     days = linking.occurrences(events).select(
         "event_id", "occurrence_date", "event_name", "start_sec", "category", "venue_id"
     )
     looked_up = (
-        _located(days, venues, meas)
+        baseline.with_slots(_located(days, venues, meas), dow, hour)
         .withColumns(
             {
-                "baseline_measurements": F.coalesce(exact["n"], F.lit(0)),
-                "baseline_delay": baseline.mean_delay(exact),
+                "baseline_measurements": F.coalesce("exact.n", F.lit(0)),
+                "baseline_delay": baseline.mean_delay(F.col("exact")),
             }
         )
-        .drop("profile")
+        .drop("exact", "same_day", "same_hour", "whole_venue")
     )
     return _with_event_traffic(looked_up, meas, ["event_id", "occurrence_date"]).select(
         "event_id",
