@@ -529,24 +529,13 @@ def _(d: Data) -> DataFrame:
 @query("impact_summary")
 def _(d: Data) -> DataFrame:
     """The three parts of the summary in one frame, told apart by ``part``."""
-    wide = [
-        reports.impact_levels(d.analysed).select(
-            F.lit("level").alias("part"), F.col("impact_level").alias("label"), "event_count", F.col("pct").alias("value")
-        ),
-        reports.category_mean_increase(d.analysed).select(
-            F.lit("category").alias("part"),
-            F.col("category").alias("label"),
-            "event_count",
-            F.col("avg_delay_increase").alias("value"),
-        ),
-        reports.top_increases(d.analysed).select(
-            F.lit("top").alias("part"),
-            F.col("event_id").cast("string").alias("label"),
-            F.lit(1).cast("bigint").alias("event_count"),
-            F.col("delay_increase").alias("value"),
-        ),
-    ]
-    return wide[0].unionByName(wide[1]).unionByName(wide[2])
+    top = reports.top_increases(d.analysed).select(
+        F.lit("top").alias("part"),
+        F.col("event_id").cast("string").alias("label"),
+        F.lit(1).cast("bigint").alias("event_count"),
+        F.col("delay_increase").alias("value"),
+    )
+    return reports.impact_breakdown(d.analysed).unionByName(top)
 
 
 @query("dashboard_kpis")

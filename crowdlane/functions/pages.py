@@ -35,19 +35,20 @@ LINK = r"(?is)<a\b([^>]*)>(.*?)</a>"
 
 
 def unescape(c: Column) -> Column:
-    """Decode decimal and the common named character references."""
+    """Decode numeric and the common named character references."""
 
-    def character(code: Column) -> Column:
-        char = F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
-        return F.regexp_replace(char, r"([\\$])", r"\\$1")
+    def numbered(s: Column, prefix: str, digits: str, base: int) -> Column:
+        codes = F.array_distinct(F.regexp_extract_all(s, F.lit(f"&#{prefix}0*({digits});"), F.lit(1)))
+
+        def put(acc: Column, code: Column) -> Column:
+            bytes_ = F.unhex(F.lpad(F.conv(code, base, 16), 8, "0"))
+            char = F.regexp_replace(F.decode(bytes_, "UTF-32"), r"([\\$])", r"\\$1")
+            return F.regexp_replace(acc, F.concat(F.lit(f"&#{prefix}0*"), code, F.lit(";")), char)
+
+        return F.aggregate(codes, s, put)
 
     def decoded(s: Column) -> Column:
-        codes = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#0*(\d{1,6});"), F.lit(1)))
-        out = F.aggregate(
-            codes,
-            s,
-            lambda acc, code: F.regexp_replace(acc, F.concat(F.lit("&#0*"), code, F.lit(";")), character(code)),
-        )
+        out = numbered(numbered(s, "", r"\d{1,6}", 10), "[xX]", "[0-9a-fA-F]{1,5}", 16)
         for name, char in ENTITIES:
             out = F.replace(out, F.lit(name), F.lit(char))
         return F.when(s.contains("&"), out).otherwise(s)

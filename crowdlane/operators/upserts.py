@@ -16,6 +16,8 @@ from crowdlane.functions import clock
 EVENT_KEY = ["event_name", "event_start_date", "venue_name"]
 VENUE_KEY = ["venue_name"]
 EVENT_KEEP = ["event_id", "venue_id", "created_at"]
+# What a venue row gets when no city or state is given.
+DEFAULT_CITY, DEFAULT_STATE = "Albuquerque", "NM"
 VENUE_KEEP = ["venue_id", "city", "state", "created_at"]
 
 
@@ -94,7 +96,7 @@ def upsert_venues(target: DataFrame, batch: DataFrame, as_of: str) -> DataFrame:
     """Venues after loading geocoded rows one by one, so the last row of a name wins."""
     out = upsert(target, last_of_batch(batch, VENUE_KEY), VENUE_KEY, "venue_id", VENUE_KEEP, as_of)
     return out.withColumns(
-        {"city": F.coalesce("city", F.lit("Albuquerque")), "state": F.coalesce("state", F.lit("NM"))}
+        {"city": F.coalesce("city", F.lit(DEFAULT_CITY)), "state": F.coalesce("state", F.lit(DEFAULT_STATE))}
     )
 
 

@@ -8,14 +8,34 @@ from crowdlane.functions import levels
 from crowdlane.operators.filters import numeric_coerce
 
 
-def impact_levels(analysed: DataFrame) -> DataFrame:
-    """Events per severity and their share of all analysed events.
+def impact_breakdown(analysed: DataFrame) -> DataFrame:
+    """Levels with their share and categories with their mean increase, from one pass.
 
-    The total is a window over the handful of level rows, not a second pass.
+    Events shrink to (level, category) cells, which then count towards both sides;
+    ``part`` tells them apart, ``value`` is the percentage or the mean.
     """
-    counts = analysed.groupBy("impact_level").agg(F.count("*").alias("event_count"))
-    total = F.sum("event_count").over(Window.partitionBy())
-    return counts.withColumn("pct", F.col("event_count") * 100.0 / total)
+    cells = analysed.groupBy("impact_level", "category").agg(
+        F.count("*").alias("n"), F.sum("delay_increase").alias("s"), F.count("delay_increase").alias("c")
+    )
+    sides = cells.select(
+        "n",
+        "s",
+        "c",
+        F.explode(
+            F.array(
+                F.struct(F.lit("level").alias("part"), F.col("impact_level").alias("label")),
+                F.struct(F.lit("category").alias("part"), F.col("category").alias("label")),
+            )
+        ).alias("side"),
+    )
+    grouped = sides.groupBy("side.part", "side.label").agg(
+        F.sum("n").alias("event_count"),
+        F.coalesce(F.try_divide(F.sum("s"), F.sum("c")), F.lit(0.0)).alias("mean"),
+    )
+    share = F.col("event_count") * 100.0 / F.sum("event_count").over(Window.partitionBy("part"))
+    return grouped.select(
+        "part", "label", "event_count", F.when(F.col("part") == "level", share).otherwise(F.col("mean")).alias("value")
+    )
 
 
 def category_mean_increase(analysed: DataFrame) -> DataFrame:
@@ -72,11 +92,23 @@ def value_distribution(detail: DataFrame, column: str, skip: str | None = None)
 
 
 def quality_distribution(detail: DataFrame) -> DataFrame:
-    """Data quality of events with traffic, and severity of all events, in one frame."""
-    quality = value_distribution(detail, "data_quality", skip="no_event_data").withColumn(
-        "kind", F.lit("data_quality")
+    """Data quality of events with traffic, and severity of all events, in one frame and one pass."""
+    cells = detail.groupBy("data_quality", "impact_level").agg(F.count("*").alias("n"))
+    sides = cells.select(
+        "n",
+        F.explode(
+            F.array(
+                F.struct(F.lit("data_quality").alias("kind"), F.col("data_quality").alias("label")),
+                F.struct(F.lit("impact_level").alias("kind"), F.col("impact_level").alias("label")),
+            )
+        ).alias("side"),
+    )
+    return (
+        sides.filter("side.label <> 'no_event_data'")
+        .groupBy("side.label", "side.kind")
+        .agg(F.sum("n").alias("event_count"))
+        .orderBy("kind", F.desc("event_count"), "label")
     )
-    return quality.unionByName(value_distribution(detail, "impact_level").withColumn("kind", F.lit("impact_level")))
 
 
 def impact_bins(report: DataFrame) -> DataFrame:

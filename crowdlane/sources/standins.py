@@ -80,8 +80,8 @@ SELECT event_id AS measurement_id, user_id AS venue_id, ts AS measurement_time,
        1 + (event_id % 7) * 0.25e0 AS distance_miles,
        CASE WHEN event_id % 30 = 2 THEN NULL WHEN value < 40 THEN 'light' WHEN value < 70 THEN 'moderate'
             WHEN value < 130 THEN 'heavy' ELSE 'severe' END AS traffic_level,
-       CASE WHEN event_id % 25 = 0 THEN NULL ELSE DOW(ts) END AS day_of_week,
-       CASE WHEN event_id % 25 = 0 THEN NULL ELSE hour(ts) END AS hour_of_day
+       CASE WHEN event_id % 25 = 0 THEN NULL ELSE cast(DOW(ts) AS int) END AS day_of_week,
+       CASE WHEN event_id % 25 = 0 THEN NULL ELSE cast(hour(ts) AS int) END AS hour_of_day
 FROM {events}
 """
 

@@ -60,6 +60,8 @@ def test_a_crowded_bin_of_measurements_is_split_and_nothing_is_lost(spark, sort_
     assert skewed(got)
     counts = {r["free"]: r["n"] for r in got.collect()}
     assert sum(counts.values()) == 60000 and counts[False] >= 20000
+    points = linking.event_points(evs, "event_id").filter("event_id < 4")
+    assert skewed(linking.window_pairs(points, crowded(spark), ["payload"]).agg(F.max("payload")))
 
 
 def test_a_crowded_venue_of_events_is_split(spark, sort_merge):
@@ -82,6 +84,11 @@ def test_a_crowded_venue_of_events_is_split(spark, sort_merge):
         linking.before_during_after(evs, v, rows, keep_partial=True),
     ):
         assert skewed(df.agg(*total))
+    named = upserts.link_events_to_venues(
+        evs.selectExpr("* EXCEPT (venue_id)", "cast(NULL AS bigint) AS venue_id", "cast(venue_id AS string) AS venue_name"),
+        v.selectExpr("venue_id", "cast(venue_id AS string) AS venue_name"),
+    )
+    assert skewed(named.agg(*total))
 
 
 def test_date_bounds_prune_partitions(spark, tmp_path):

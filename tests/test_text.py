@@ -87,7 +87,7 @@ def test_contacts_and_category(spark):
     assert one(spark, text.extract_category, "{}") is None
 
 
-HTML = """<html><h1 id=x> Jazz &amp; Blues <em>Night</em> &#8211; 2</h1>
+HTML = """<html><h1 id=x> Jazz &amp; Blues <em>Night</em> &#8211; 2 &#x27;a&#X00e9; &#36;1 &amp;lt;</h1>
 <ul class="links"><li data-name="dates"><span class="info-list-value">No</span></li></ul>
 <UL data-gtm-vars='{"crmCatSubcat": "Music"}' class="wide detail-info">
 <li data-name="dates"><b>When</b><span class='x info-list-value'>Feb 11 - Mar 3</span></li>
@@ -107,7 +107,7 @@ def test_page_fields(spark):
     got = pages.page_fields(df, 2025).collect()
     assert [r["page_id"] for r in got] == [1]
     r = got[0].asDict()
-    assert r["event_name"] == "Jazz & BluesNight– 2"
+    assert r["event_name"] == "Jazz & BluesNight– 2 'aé $1 &lt;"
     assert (r["event_start_date"], r["event_end_date"], r["is_multi_day"]) == (date(2025, 2, 11), date(2025, 3, 3), True)
     assert (r["start_sec"], r["end_sec"]) == (19 * 3600, 21 * 3600)
     assert r["venue_name"] == "TheHall" and r["category"] == "Music" and r["sponsor"] == ""
