@@ -59,6 +59,11 @@ def day_name(dow: Column | str) -> Column:
     return F.get(F.array(*[F.lit(n) for n in DAY_NAMES]), col(dow))
 
 
+def start_of_hour(ts: Column | str) -> Column:
+    """The zone-less hour a timestamp falls into; date_trunc would go through the session zone."""
+    return F.timestamp_add("HOUR", F.hour(col(ts)), F.to_date(col(ts)).cast("timestamp_ntz"))
+
+
 def hour_of(sec: Column | str) -> Column:
     return F.floor(col(sec) / 3600).cast("int")
 

@@ -123,8 +123,7 @@ def hourly_activity(meas: DataFrame) -> DataFrame:
     venue, event): a crowded hour is spread over its venues and events before it
     becomes one row.
     """
-    hour = F.date_trunc("hour", "measurement_time").cast("timestamp_ntz").alias("collection_hour")
-    fine = meas.groupBy(hour, "data_source", "venue_id", "event_id").agg(
+    fine = meas.groupBy(clock.start_of_hour("measurement_time").alias("collection_hour"), "data_source", "venue_id", "event_id").agg(
         F.count("*").alias("n"),
         _count_if(_is("is_baseline", True)).alias("n_baseline"),
         F.sum("delay_minutes").alias("sum_delay"),
@@ -132,7 +131,7 @@ def hourly_activity(meas: DataFrame) -> DataFrame:
         F.min("measurement_time").alias("first_time"),
         F.max("measurement_time").alias("last_time"),
     )
-    totals = fine.groupBy("collection_hour", "data_source").agg(
+    return fine.groupBy("collection_hour", "data_source").agg(
         F.sum("n").alias("measurements"),
         F.sum("n_baseline").alias("baseline_count"),
         F.sum(F.when(F.col("event_id").isNotNull(), F.col("n")).otherwise(0)).alias("event_count"),
@@ -142,7 +141,6 @@ def hourly_activity(meas: DataFrame) -> DataFrame:
         F.min("first_time").alias("first_measurement"),
         F.max("last_time").alias("last_measurement"),
     )
-    return totals
 
 
 def recent_collection_activity(meas: DataFrame, as_of: str, hours: int = 24) -> DataFrame:

@@ -61,6 +61,8 @@ def stream_measurements(raw: DataFrame, out: str, checkpoint: str) -> StreamingQ
 def hourly_activity(rows: DataFrame, lateness: str = "2 hours") -> DataFrame:
     """Activity per hour and source; rows later than ``lateness`` are dropped.
 
+    Watermarks need a zoned time, so the session zone should be UTC.
+
     Distinct venues and events are approximate here: exact ones would keep every
     value in state.
     """
