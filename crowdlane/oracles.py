@@ -6,6 +6,8 @@ joins, windows over whole groups); the Spark side is free to plan differently.
 
 from __future__ import annotations
 
+import re
+
 from crowdlane.functions.text import MONTHS
 from crowdlane.sources import standins
 from crowdlane.sources.standins import AS_OF, AS_OF_YEAR
@@ -305,8 +307,6 @@ def _sql(body: str, *doubles: str) -> str:
     used: list[str] = []
 
     def need(text: str) -> None:
-        import re
-
         for name in BASE:
             if name not in used and re.search(rf"\b{name}\b", text):
                 need(BASE[name])
@@ -493,7 +493,7 @@ ORACLES: dict[str, str] = {
     "occurrence_impact": _sql(OCCURRENCES, "event_delay", "baseline_delay", "impact_above_baseline"),
     "multi_day_window_match": _sql(
         """SELECT s.event_id, m.venue_id, m.measurement_time::date AS occurrence_date, measurement_id, measurement_time, delay_minutes,
-                  (epoch_us(measurement_time) - epoch_us(date_trunc('day', measurement_time))) / 3.6e9 - s.start_sec / 3600.0 AS hours_from_start
+                  (epoch_us(measurement_time) - epoch_us(date_trunc('day', measurement_time)) - s.start_sec * 1000000::bigint) / 3.6e9 AS hours_from_start
            FROM sched s JOIN meas m ON m.venue_id = s.venue_id AND m.measurement_time::date BETWEEN s.event_start_date AND s.event_end_date
             AND abs((epoch_us(measurement_time) - epoch_us(date_trunc('day', measurement_time))) - s.start_sec * 1000000::bigint) <= 7200000000""",
         "hours_from_start",
