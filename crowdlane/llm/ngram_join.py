@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import words as wd
 from .components import components
 from .scratch import store
+from .sieve import Sieve
 from .tiles import Jaccard, verified_links
 
 
@@ -68,6 +69,10 @@ def shingle_sets(part: wd.Slice, k: int) -> tuple[np.ndarray, np.ndarray]:
     return wd.distinct(*wd.shingles(w.hash, w.first, k))
 
 
+def set_hash(sets: np.ndarray, begin: np.ndarray) -> pa.Array:
+    return pa.array(wd.mix(wd.sums(wd.mix(sets), begin) + np.diff(begin).astype(np.uint64)).view(np.int64))
+
+
 def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """doc_id, n_shingles, set_hash, keys of every text."""
 
@@ -79,7 +84,7 @@ def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 [
                     part.batch.column(0),
                     pa.array(n),
-                    pa.array(wd.mix(wd.sums(wd.mix(sets), begin) + n.astype(np.uint64)).view(np.int64)),
+                    set_hash(sets, begin),
                     wd.lists(*part_keys(sets, begin, num, den)),
                 ],
                 names=["doc_id", "n_shingles", "set_hash", "keys"],
@@ -97,18 +102,17 @@ def candidate_groups(keyed: DataFrame) -> DataFrame:
     return components(links, "node", "least").withColumnRenamed("component", "grp")
 
 
-def payloads(docs: DataFrame, k: int) -> DataFrame:
-    """grp, node, n, payload: the sorted shingle hashes of each text."""
+def payloads(docs: DataFrame, k: int, wanted: Sieve) -> DataFrame:
+    """doc_id, node, payload: the hash of the set and its sorted shingle hashes, of texts that pass the sieve."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in wd.slices(batches):
+        for part in wd.slices(wanted.pass_on(batches)):
             sets, begin = shingle_sets(part, k)
             yield pa.RecordBatch.from_arrays(
-                [part.batch.column(0), part.batch.column(1), pa.array(np.diff(begin).astype(np.int32)), wd.binaries(sets, begin)],
-                names=["grp", "node", "n", "payload"],
+                [part.batch.column(0), set_hash(sets, begin), wd.binaries(sets, begin)], names=["doc_id", "node", "payload"]
             )
 
-    return docs.select("grp", "node", "text").mapInArrow(run, "grp bigint, node bigint, n int, payload binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, node bigint, payload binary")
 
 
 def ngram_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -127,13 +131,13 @@ def ngram_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100)
     keyed = full.select(F.col("set_hash").alias("node"), F.explode("keys").alias("key"))
     groups = candidate_groups(keyed)
     # one document stands for each class of equal sets
-    first = full.groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
-    reps = store(groups.join(first.selectExpr("~~set_hash as node", "rep"), "node"), "candidates")
-    chosen = docs.select("doc_id", "text").join(
-        reps.select(F.col("rep").alias("doc_id"), "grp", "node"), "doc_id"
+    first = full.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").cast("int").alias("n"))
+    reps = groups.join(first.selectExpr("~~set_hash as node", "rep as doc_id", "n"), "node")
+    reps = store(reps, "candidates")
+    texts = payloads(docs, k, Sieve(reps, "doc_id"))
+    links = verified_links(
+        reps, texts, ["doc_id", "node"], den / num, lambda size, sets: Jaccard(size, sets, num, den)
     )
-    texts = payloads(chosen, k).dropDuplicates(["node", "n"])
-    links = verified_links(texts, den / num, lambda size, sets: Jaccard(size, sets, num, den))
     # rows of one doc_id with different texts tie their classes together
     tied = full.groupBy("doc_id").agg(F.min("set_hash").alias("a"), F.max("set_hash").alias("b")).where("a < b")
     tied = full.join(tied, "doc_id").select("a", F.col("set_hash").alias("b"))

@@ -54,27 +54,28 @@ def band(n: str | Column, ratio: float) -> Column:
     return F.floor(F.log(F.col(n) if isinstance(n, str) else n) / float(np.log(ratio * 1.0001))).cast("int")
 
 
-def verified_links(members: DataFrame, ratio: float, test: Test) -> DataFrame:
-    """Links (a, b) between ``members`` (grp bigint, node bigint, n int > 0, payload binary) of one group.
+def verified_links(members: DataFrame, payloads: DataFrame, on: list[str], ratio: float, test: Test) -> DataFrame:
+    """Links (a, b) between ``members`` (grp bigint, node bigint, n int > 0, and ``on``) of one group.
 
     They connect the same members as all pairs of a group for which ``test`` holds would.
+    ``payloads`` has what is compared, by ``on``; it joins members that are dealt out already.
     """
-    m = members.select("grp", "node", "n", "payload", band("n", ratio).alias("band"))
+    m = members.select("grp", "node", "n", *(c for c in on if c != "node"), band("n", ratio).alias("band"))
     count = m.groupBy("grp", "band").count()
     count = count.withColumn(
         "tiles", F.when(F.col("count") <= SMALL, 1).otherwise(F.ceil(F.sqrt(F.col("count") / 8))).cast("int")
     )
     # per group and band: its tiles, those of the band above and of the band below
     sides = (
-        count.selectExpr("grp", "band", "tiles own", "0 next", "0 before")
-        .union(count.selectExpr("grp", "band - 1", "0", "tiles", "0"))
-        .union(count.selectExpr("grp", "band + 1", "0", "0", "tiles"))
+        count.selectExpr("grp", "band", "count", "tiles own", "0 next", "0 before")
+        .union(count.selectExpr("grp", "band - 1", "0", "0", "tiles", "0"))
+        .union(count.selectExpr("grp", "band + 1", "0", "0", "0", "tiles"))
         .groupBy("grp", "band")
-        .agg(F.max("own").alias("own"), F.max("next").alias("next"), F.max("before").alias("before"))
+        .agg(*(F.max(c).alias(c) for c in ("count", "own", "next", "before")))
         .where("own > 0")
     )
     same = F.bitwise_not(F.bitwise_not("grp"))
-    dealt = m.join(sides.select(same.alias("grp"), "band", "own", "next", "before"), ["grp", "band"])
+    dealt = m.join(sides.select(same.alias("grp"), "band", "count", "own", "next", "before"), ["grp", "band"])
     dealt = dealt.withColumn("tile", F.expr("int(pmod(xxhash64(node, 7), own))"))
     pair = F.expr(
         """concat(
@@ -85,8 +86,14 @@ def verified_links(members: DataFrame, ratio: float, test: Test) -> DataFrame:
             if(before = 0, array(), transform(sequence(0, before - 1), x -> named_struct('lo', band - 1, 'hi', band,
                 'i', x, 'j', tile, 'side', 1))))"""
     )
-    pieces = dealt.select("grp", F.explode(pair).alias("p"), "node", "n", "payload").select(
-        "grp", "p.lo", "p.hi", "p.i", "p.j", "p.side", "node", "n", "payload"
+    # a pair of tiles of two bands, or a tile with itself, is left out where nothing else is in it
+    others = F.expr("if(p.side = 2, `count` > 1, true)")
+    pieces = (
+        dealt.withColumn("p", F.explode(pair))
+        .where(others)
+        .select("grp", "p.lo", "p.hi", "p.i", "p.j", "p.side", "n", *dict.fromkeys(["node", *on]))
+        .join(payloads, on)
+        .select("grp", "lo", "hi", "i", "j", "side", "node", "n", "payload")
     )
 
     def compare(table: pa.Table) -> pa.Table:
