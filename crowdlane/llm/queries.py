@@ -4,18 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import chat_rotation, license_scan
+from .imatch import fingerprints
+from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .scratch import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered dialogues, their spans as text."""
+    rows = chat_rotation.rotate_perspectives(read(spark, sf_dir, "conversations"))
+    return rows.withColumn("mask_spans", F.expr(chat_rotation.spans_text("mask_spans")))
+
+
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(read(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -26,7 +47,16 @@ def _shipped(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     f.__name__: _shipped(f)
-    for f in (op8_ngram_jaccard_join,)
+    for f in (
+        op4_chat_rotation,
+        op7_document_fingerprints,
+        op8_ngram_jaccard_join,
+        op9_license_scan,
+        op10_source_mixing,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_chat_rotation": chat_rotation.ORACLE,
+    "op9_license_scan": license_scan.oracle(),
+}
