@@ -30,12 +30,14 @@ class Sieve:
         table[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
         self.table = keys.sparkSession.sparkContext.broadcast(table)
 
+    def may(self, keys: np.ndarray) -> np.ndarray:
+        """Whether each key (long) may be wanted."""
+        at = np.mod(keys, BITS)
+        return ((self.table.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
     def pass_on(self, batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[pa.RecordBatch]:
-        table = self.table.value
         for batch in batches:
             key = batch.column(column)
-            at = np.mod(key.fill_null(0).to_numpy(zero_copy_only=False), BITS)
-            seen = (table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-            keep = seen.astype(bool) & key.is_valid().to_numpy(zero_copy_only=False)
+            keep = self.may(key.fill_null(0).to_numpy(zero_copy_only=False)) & key.is_valid().to_numpy(zero_copy_only=False)
             if keep.any():
                 yield batch.filter(pa.array(keep))

@@ -90,9 +90,25 @@ class Words(NamedTuple):
     first: np.ndarray  # index of each text's first word; one more for the end
 
 
-def words(data: np.ndarray, offs: np.ndarray, lower: bool = True) -> Words:
+def lines(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each line begins (one more for the end), its text, and its number in the text from 0.
+
+    An empty text, and what follows a last line break, has no line.
+    """
+    ends = np.flatnonzero(data == 10)
+    text = np.searchsorted(offs, ends, "right") - 1
+    more = ends + 1 < offs[text + 1]
+    start = np.sort(np.concatenate([offs[:-1][np.diff(offs) > 0], ends[more] + 1]))
+    text = np.searchsorted(offs, start, "right") - 1
+    before = np.searchsorted(ends, start) - np.searchsorted(ends, offs[text])
+    return np.append(start, len(data)), text, before
+
+
+def words(data: np.ndarray, offs: np.ndarray, table: np.ndarray = _LOWER) -> Words:
+    """``table`` maps bytes to bytes before anything else."""
     n, texts = len(data), len(offs) - 1
-    space = _SPACE[data]
+    low = table[data]
+    space = _SPACE[low]
     before, after = np.empty(n, bool), np.empty(n, bool)
     before[1:], after[:-1] = space[:-1], space[1:]
     begins, ends = offs[:-1][offs[:-1] < n], offs[1:][offs[1:] > 0] - 1
@@ -101,7 +117,6 @@ def words(data: np.ndarray, offs: np.ndarray, lower: bool = True) -> Words:
     start = np.flatnonzero(before & ~space)
     end = np.flatnonzero(after & ~space) + 1
     text = np.searchsorted(offs, start, "right") - 1
-    low = _LOWER[data] if lower else data
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _power(_BASE, n), out=sums[1:])
     h = (sums[end] - sums[start]) * _power(_UNBASE, n + 1)[start]
@@ -109,6 +124,14 @@ def words(data: np.ndarray, offs: np.ndarray, lower: bool = True) -> Words:
     return Words(start, end, text, h, np.searchsorted(text, np.arange(texts + 1)))
 
 
+def sequences(h: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A hash of the values first .. last - 1 of each unit, in order."""
+    total = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * _power(_BASE, len(h)), out=total[1:])
+    out = (total[last] - total[first]) * _power(_UNBASE, len(h) + 1)[first]
+    return mix(out + (last - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def runs(h: np.ndarray, k: int) -> np.ndarray:
     """A hash of each k neighbouring values, in order; k - 1 fewer than values."""
     n = max(len(h) - k + 1, 0)
