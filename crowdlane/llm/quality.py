@@ -193,6 +193,18 @@ def fit(stats: DataFrame, labels: DataFrame, seed: int = 0, ridge: float = 1e-3)
     return sharp._replace(level=np.clip(level, 0, 1))
 
 
+def keep_good(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``least`` or more; nothing is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in wd.slices(batches):
+            good = np.round(model.score(statistics(part.data, part.offs)), 6) >= least
+            if good.any():
+                yield part.batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, learn: str = "true") -> DataFrame:
     """doc_id, score (0 to 1), predicted (1 if score >= 0.5) of every row of ``docs`` (doc_id, text).
 

@@ -4,23 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import chat_rotation, license_scan
+from .decontaminate import find_leaks
 from .imatch import fingerprints
+from .language_id import identify_languages, train
+from .line_dedup import repeated_lines
 from .mixing import mix_sources
 from .ngram_join import ngram_components
+from .quality import score_quality
 from .scratch import read, ship
+from .substring_dedup import repeated_passages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _remainder(n: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learnt from documents whose crc32(doc_id) mod 5 is not 0; the others are held out."""
+    docs = read(spark, sf_dir, "documents")
+    found = identify_languages(docs, train(docs.where(_remainder(5) != 0)))
+    return found.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read(spark, sf_dir, "documents"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_lines(read(spark, sf_dir, "documents")).drop("th", "group_id")
+
+
 def op4_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rendered dialogues, their spans as text."""
     rows = chat_rotation.rotate_perspectives(read(spark, sf_dir, "conversations"))
     return rows.withColumn("mask_spans", F.expr(chat_rotation.spans_text("mask_spans")))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learnt from labels whose crc32(doc_id) mod 3 is not 1; the others are held out."""
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
+    found = score_quality(read(spark, sf_dir, "documents"), labels.where(_remainder(3) != 1))
+    return found.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(read(spark, sf_dir, "documents"))
 
@@ -48,7 +83,12 @@ def _shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     f.__name__: _shipped(f)
     for f in (
+        op1_language_id,
+        op2_substring_dedup,
+        op3_line_dedup,
         op4_chat_rotation,
+        op5_benchmark_decontamination,
+        op6_quality_classifier,
         op7_document_fingerprints,
         op8_ngram_jaccard_join,
         op9_license_scan,
