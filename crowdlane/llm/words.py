@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -68,7 +68,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[Slice]:
-    """Each batch in slices of about 4 MB of text, so that memory does not depend on lengths."""
+    """Each batch in slices of half a megabyte of text, so that memory does not depend on lengths."""
     for batch in batches:
         if not batch.num_rows:
             continue
