@@ -15,12 +15,19 @@ from crowdlane.session import shared_dir
 _shipped: set[str] = set()
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1,000 rows in this session: texts are long, and each task holds a batch or two."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet below ``spark.checkpoint.dir`` and read again.
 
     This cuts the lineage and keeps costly rows from being computed twice. The
     files are in the folder that all executors share, so nothing is lost with one.
     """
+    _small_batches(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -35,6 +42,7 @@ def forget(df: DataFrame) -> None:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

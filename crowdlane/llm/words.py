@@ -80,6 +80,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             part = offs[start : stop + 1]
             yield Slice(batch.slice(start, stop - start), data[part[0] : part[-1]], part - part[0])
             start = stop
+        del data, offs
+    pa.default_memory_pool().release_unused()
 
 
 class Words(NamedTuple):
