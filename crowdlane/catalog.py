@@ -689,10 +689,10 @@ def _(d: Data) -> DataFrame:
 
 @query("baseline_with_event")
 def _(d: Data) -> DataFrame:
-    # link every row, flagged or not, as a faulty job would
-    faulty = linking.link_measurements(d.raw.withColumn("is_baseline", F.lit(False)), d.events).drop("is_baseline")
-    flags = d.raw.select("measurement_id", "is_baseline")
-    return quality.baseline_with_event(faulty.join(flags, "measurement_id"))
+    # link every row, flagged or not, as a faulty job would; its flag goes along as another column
+    hidden = d.raw.withColumn("flag", F.col("is_baseline")).withColumn("is_baseline", F.lit(False))
+    faulty = linking.link_measurements(hidden, d.events)
+    return quality.baseline_with_event(faulty.withColumn("is_baseline", F.col("flag")))
 
 
 # --- text, dates, math, JSON -------------------------------------------------

@@ -38,7 +38,12 @@ def unescape(c: Column) -> Column:
     """Decode numeric and the common named character references."""
 
     def numbered(s: Column, prefix: str, digits: str, base: int) -> Column:
-        codes = F.array_distinct(F.regexp_extract_all(s, F.lit(f"&#{prefix}0*({digits});"), F.lit(1)))
+        found = F.array_distinct(F.regexp_extract_all(s, F.lit(f"&#{prefix}0*({digits});"), F.lit(1)))
+        # characters only: no surrogates, nothing beyond the last plane; the ampersand comes last
+        point = lambda x: F.conv(x, base, 10).cast("bigint")
+        codes = F.filter(
+            found, lambda x: (point(x) <= 0x10FFFF) & ~point(x).between(0xD800, 0xDFFF) & (point(x) != 38)
+        )
 
         def put(acc: Column, code: Column) -> Column:
             bytes_ = F.unhex(F.lpad(F.conv(code, base, 16), 8, "0"))
@@ -48,9 +53,13 @@ def unescape(c: Column) -> Column:
         return F.aggregate(codes, s, put)
 
     def decoded(s: Column) -> Column:
-        out = numbered(numbered(s, "", r"\d{1,6}", 10), "[xX]", "[0-9a-fA-F]{1,5}", 16)
+        # what one reference decodes to is never read as part of another: only the last step gives ampersands
+        out = s
         for name, char in ENTITIES:
-            out = F.replace(out, F.lit(name), F.lit(char))
+            if char != "&":
+                out = F.replace(out, F.lit(name), F.lit(char))
+        out = numbered(numbered(out, "", r"\d{1,7}", 10), "[xX]", "[0-9a-fA-F]{1,6}", 16)
+        out = F.regexp_replace(out, "&(?:amp|#0*38|#[xX]0*26);", "&")
         return F.when(s.contains("&"), out).otherwise(s)
 
     return text.let(c, decoded)

@@ -90,27 +90,26 @@ def api_usage_by_day(meas: DataFrame, as_of: str, days: int = 30) -> DataFrame:
 def usage_7day_pivot(meas: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     """Calls per day and provider over the last days, and one total line with the daily mean.
 
+    Calls of providers without a column, or of none, are ``other_calls``; totals and mean count every call.
     Days without calls have no line; the mean divides by ``days``. The total line
     has no date.
     """
     since = F.date_sub(F.to_date(clock.moment(as_of)), days).cast("timestamp_ntz")
-    daily = (
+    known = [F.count_if(F.col("data_source") == s).alias(s) for s in SOURCES]
+    per_line = (
         clock.measured_since(meas, since)
-        .groupBy(F.to_date("measurement_time").alias("date"))
-        .pivot("data_source", SOURCES)
-        .agg(F.count(F.lit(1)))
-        .fillna(0, SOURCES)
+        .withColumn("date", F.to_date("measurement_time"))
+        .rollup("date")
+        .agg(F.grouping("date").alias("_total"), *known, F.count(F.lit(1)).alias("total_calls"))
     )
-    per_line = daily.rollup("date").agg(F.grouping("date").alias("_total"), *[F.sum(s).alias(s) for s in SOURCES])
-    calls = F.col("google_maps") + F.col("tomtom")
     return (
         per_line.filter("_total = 1 OR date IS NOT NULL")
         .select(
             "date",
-            F.coalesce("google_maps", F.lit(0)).alias("google_maps"),
-            F.coalesce("tomtom", F.lit(0)).alias("tomtom"),
-            F.coalesce(calls, F.lit(0)).alias("total_calls"),
-            F.when(F.col("_total") == 1, F.coalesce(calls, F.lit(0)) / float(days)).alias("avg_per_day"),
+            *SOURCES,
+            (F.col("total_calls") - F.col("google_maps") - F.col("tomtom")).alias("other_calls"),
+            "total_calls",
+            F.when(F.col("_total") == 1, F.col("total_calls") / float(days)).alias("avg_per_day"),
         )
         .orderBy(F.desc_nulls_last("date"))
     )

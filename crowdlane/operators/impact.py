@@ -156,7 +156,6 @@ def event_impact_detail(impact: DataFrame) -> DataFrame:
             levels.impact_level("impact_above_baseline", "detail").alias("impact_level"),
             levels.data_quality("event_measurements", "baseline_measurements").alias("data_quality"),
         )
-        .orderBy(F.desc("event_start_date"), F.desc("start_sec"), "event_id")
     )
 
 

@@ -168,7 +168,6 @@ def traffic_for_event(events: DataFrame, venues: DataFrame, meas: DataFrame) ->
             ),
             *cols,
         )
-        .orderBy("event_id", "measurement_time", "measurement_id")
     )
 
 

@@ -560,11 +560,13 @@ ORACLES: dict[str, str] = {
     ),
     "usage_7day_pivot": _sql(
         f"""WITH u AS (SELECT measurement_time::date AS date, count(*) FILTER (data_source = 'google_maps') AS google_maps,
-                              count(*) FILTER (data_source = 'tomtom') AS tomtom
+                              count(*) FILTER (data_source = 'tomtom') AS tomtom, count(*) AS total_calls
                        FROM meas WHERE measurement_time >= {TODAY} - 7 GROUP BY ALL)
-            SELECT date, google_maps, tomtom, google_maps + tomtom AS total_calls, NULL::double AS avg_per_day FROM u
-            UNION ALL SELECT NULL, sum(google_maps)::bigint, sum(tomtom)::bigint, sum(google_maps + tomtom)::bigint,
-                             sum(google_maps + tomtom)::double / 7 FROM u""",
+            SELECT date, google_maps, tomtom, total_calls - google_maps - tomtom AS other_calls, total_calls,
+                   NULL::double AS avg_per_day FROM u
+            UNION ALL SELECT NULL, coalesce(sum(google_maps), 0)::bigint, coalesce(sum(tomtom), 0)::bigint,
+                             coalesce(sum(total_calls - google_maps - tomtom), 0)::bigint, coalesce(sum(total_calls), 0)::bigint,
+                             coalesce(sum(total_calls), 0)::double / 7 FROM u""",
         "avg_per_day",
     ),
     "recent_collection_activity": _sql(

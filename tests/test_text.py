@@ -123,3 +123,27 @@ def test_whole_long_page_is_read(spark):
     r = pages.page_fields(df, 2025).first()
     assert r["event_start_date"] == date(2025, 2, 11) and r["website_url"] == "https://w.example.org"
     assert df.select(F.length("html").alias("n")).first()["n"] > 300000
+
+
+def test_references_are_decoded_once(spark):
+    from crowdlane.functions.pages import unescape
+
+    cases = {
+        "&#38;lt; &amp;lt; &amp;#60;": "&lt; &lt; &#60;",
+        "&#x10FFFF;&#1114111;": "\U0010ffff\U0010ffff",
+        "&#x110000; &#xD800;": "&#x110000; &#xD800;",
+        "&lt;&#62;&#x41;": "<>A",
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    assert {r[0]: r[1] for r in df.select("c", unescape(df.c)).collect()} == cases
+
+
+def test_calls_of_any_provider_count(spark):
+    from frames import meas, probe
+
+    from crowdlane.operators.aggregates import usage_7day_pivot
+
+    rows = [probe(1), probe(2, data_source="here"), probe(3, minutes=1440, data_source="osm"), probe(4, minutes=1440, data_source=None)]
+    got = usage_7day_pivot(meas(spark, rows), "2024-01-05 00:00:00").collect()
+    assert [(r["tomtom"], r["other_calls"], r["total_calls"]) for r in got] == [(0, 2, 2), (1, 1, 2), (1, 3, 4)]
+    assert got[2]["avg_per_day"] == 4 / 7
