@@ -56,7 +56,7 @@ def targets(sizes: DataFrame, weights: Sequence[float], limit: int) -> DataFrame
 
 def fit(size: np.ndarray, count: np.ndarray, budget: int) -> np.ndarray:
     """How many of ``count`` documents of each ``size`` (distinct, > 0) are taken so that their sizes add up
-    to the budget, or as near below it as can be.
+    to the budget, or come as near to it as can be from below or above.
 
     Each size first gives the same share of its documents, so that the choice looks like the
     source, then the larger sizes give more while there is much left. The rest, at most
@@ -80,9 +80,10 @@ def fit(size: np.ndarray, count: np.ndarray, budget: int) -> np.ndarray:
             take[i] += more
             left -= more * int(size[i])
     bound = min(left, EXACT)
-    mask, reach, steps = (1 << (bound + 1)) - 1, 1, []
+    top = 2 * bound  # beyond it, taking nothing more is as near
+    mask, reach, steps = (1 << (top + 1)) - 1, 1, []
     for i in np.argsort(size, kind="stable").tolist():
-        have, power = min(int(count[i] - take[i]), bound // int(size[i])), 1
+        have, power = min(int(count[i] - take[i]), top // int(size[i])), 1
         while have > 0:
             n = min(power, have)
             new = (reach | reach << (n * int(size[i]))) & mask
@@ -91,7 +92,10 @@ def fit(size: np.ndarray, count: np.ndarray, budget: int) -> np.ndarray:
             reach, have, power = new, have - n, power * 2
         if reach >> bound & 1:
             break
-    at = reach.bit_length() - 1
+    below = (reach & ((1 << (bound + 1)) - 1)).bit_length() - 1
+    above = reach >> bound
+    above = bound + (above & -above).bit_length() - 1 if above else top + 1
+    at = below if bound - below <= above - bound else above
     for i, n, before in reversed(steps):
         if not before >> at & 1:
             take[i] += n
