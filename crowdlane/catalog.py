@@ -1007,9 +1007,9 @@ def _(d: Data) -> DataFrame:
         "measurement_id",
         "measurement_time",
         "traffic_level",
-        "avg_speed_mph",
+        F.col("avg_speed_mph").cast("double"),
         "delay_minutes",
-        "distance_miles",
+        F.col("distance_miles").cast("double"),
         "baseline_type",
         "is_baseline",
         "day_of_week",

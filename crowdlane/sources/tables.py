@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from crowdlane import schema
 from crowdlane.functions import clock
@@ -72,16 +73,29 @@ def stamp_measurements(df: DataFrame) -> DataFrame:
     )
 
 
-def append_measurements(df: DataFrame, path: str) -> None:
-    """Append stamped rows, partitioned by day so that date filters prune files.
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """The declared columns of a base table in their types; missing ones are NULL, others go.
 
-    Rows of one day are spread by a hash of the row id over a few writers: a busy
+    A value that does not fit its declared type is an error, as it is on insert.
+    """
+    declared = StructType.fromDDL(TABLES[name])
+    return df.select(
+        [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in declared]
+    )
+
+
+def append_measurements(df: DataFrame, path: str, as_of: str | None = None) -> None:
+    """Append stamped rows in the declared types, partitioned by day so that date filters prune files.
+
+    Rows without ``created_at`` get ``as_of``. Adaptive execution sizes the writers: a busy
     day is not funnelled through one task, a quiet one does not make many files.
     """
+    rows = conform(stamp_measurements(df), "traffic_measurements")
+    if as_of is not None:
+        rows = rows.withColumn("created_at", F.coalesce("created_at", clock.moment(as_of)))
     (
-        stamp_measurements(df)
-        .withColumn("measurement_date", F.to_date("measurement_time"))
-        .repartition("measurement_date", F.pmod(F.xxhash64("measurement_id"), F.lit(32)))
+        rows.withColumn("measurement_date", F.to_date("measurement_time"))
+        .hint("rebalance", "measurement_date")
         .write.mode("append")
         .partitionBy("measurement_date")
         .parquet(path)

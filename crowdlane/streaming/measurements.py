@@ -11,13 +11,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crowdlane.functions import payloads
 from crowdlane.operators import linking, upserts
-from crowdlane.sources.tables import stamp_measurements
+from crowdlane.sources.tables import conform, stamp_measurements
 
 
 def parse_probes(raw: DataFrame) -> DataFrame:
     """Raw probes (probe columns plus ``payload`` and ``payload_kind``) to stamped measurement rows.
 
     ``payload_kind`` is flow, route or matrix; probes without a usable answer are dropped.
+    The payload is kept as ``raw_response``.
     """
     kind = F.col("payload_kind")
     shared = [
@@ -39,14 +40,15 @@ def parse_probes(raw: DataFrame) -> DataFrame:
         .when(kind == "route", narrow(payloads.parse_route("payload")))
         .when(kind == "matrix", narrow(payloads.parse_matrix("payload")))
     )
+    rows = raw.withColumn("_answer", answer).filter("_answer IS NOT NULL").select("*", "_answer.*")
     return stamp_measurements(
-        raw.withColumn("_answer", answer).filter("_answer IS NOT NULL").select("*", "_answer.*").drop("_answer")
+        rows.withColumn("raw_response", F.col("payload")).drop("_answer", "payload", "payload_kind")
     )
 
 
 def stream_measurements(raw: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append parsed probes to a table partitioned by day."""
-    rows = parse_probes(raw).withColumn("measurement_date", F.to_date("measurement_time"))
+    """Append parsed probes, in the declared types, to a table partitioned by day."""
+    rows = conform(parse_probes(raw), "traffic_measurements").withColumn("measurement_date", F.to_date("measurement_time"))
     return (
         rows.writeStream.format("parquet")
         .outputMode("append")

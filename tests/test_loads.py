@@ -2,6 +2,7 @@ from datetime import date, datetime
 
 import pytest
 from frames import DAY, event, events, meas, probe, venues
+from pyspark.sql import functions as F
 
 from crowdlane.operators import quality, upserts
 from crowdlane.sources import listings, runlog, tables
@@ -72,6 +73,15 @@ def test_stamped_rows_append_by_day(spark, tmp_path):
     assert sorted({str(r["measurement_date"]) for r in got}) == ["2024-01-03", "2024-01-04"]
 
 
+def test_appended_rows_are_read_back_in_declared_types(spark, tmp_path):
+    df = meas(spark, [probe(1, speed, avg_speed_mph=speed) for speed in (20.0, 30.126)])
+    tables.append_measurements(df.withColumn("payload", F.lit("{}")), str(tmp_path / "traffic_measurements"), NOW)
+    got = tables.read_table(spark, str(tmp_path), "traffic_measurements")
+    assert "payload" not in got.columns
+    row = got.agg(F.sum("avg_speed_mph").cast("double").alias("speed"), F.count("created_at").alias("stamped"), F.count("raw_response").alias("raw")).first()
+    assert (row["speed"], row["stamped"], row["raw"]) == (50.13, 2, 0)
+
+
 def test_declared_schemas_round_trip(spark, tmp_path):
     empty = {n: spark.createDataFrame([], ddl) for n, ddl in tables.TABLES.items()}
     for name, df in empty.items():

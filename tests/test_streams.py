@@ -3,6 +3,7 @@ from datetime import date, datetime
 from frames import DAY, event, events, meas, probe
 
 from crowdlane.operators import linking, upserts
+from crowdlane.sources.tables import TABLES
 from crowdlane.streaming import measurements as streams
 from test_loads import NOW, batch
 
@@ -68,3 +69,6 @@ def test_probes_become_measurements(spark, tmp_path):
     streams.stream_measurements(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("measurement_id").collect()
     assert [(r["measurement_id"], r["delay_minutes"], r["data_source"], r["hour_of_day"]) for r in got] == [(1, 2, "tomtom", 8), (2, 0, "tomtom", 9)]
+    # the stored table has the declared columns, with the payload as it came
+    stored = spark.read.schema(TABLES["traffic_measurements"]).parquet(str(tmp_path / "out"))
+    assert stored.where("raw_response like '{%' and avg_speed_mph > 0").count() == 2
