@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -52,8 +54,37 @@ BROADCAST_BIGRAMS = 100_000
 def bigrams(text: Column) -> Column:
     """Distinct word bigrams of a text, words being runs of a-z and 0-9 in lower case."""
     words = F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+    # the lambda's argument holds the words, so that they are split once
+    pairs = F.transform(
+        F.array(words),
+        lambda w: F.array_distinct(
+            F.zip_with(
+                F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))),
+                F.slice(w, 2, F.greatest(F.size(w), F.lit(1))),
+                lambda a, b: F.concat_ws(" ", a, b),
+            )
+        ),
+    )
+    return pairs[0]
+
+
+def seeds(templates: Sequence[tuple[str, str]], least: float) -> str | None:
+    """A pattern that every lower-case text with a coefficient of ``least`` or more to some template contains.
+
+    Such a text shares at least least / (2 - least) of a template's k bigrams, say o; so it has one
+    of any k - o + 1 of them. The longest are taken, which are seldom in other texts.
+    """
+    followers: dict[str, set[str]] = {}
+    for _, text in templates:
+        words = [w for w in re.split("[^a-z0-9]+", text.lower()) if w]
+        pairs = sorted(set(zip(words, words[1:])), key=lambda p: (-len(p[0] + p[1]), p))
+        shared = max(1, math.ceil(least / (2 - least) * len(pairs) - 1e-9))
+        for first, second in pairs[: len(pairs) - shared + 1]:
+            followers.setdefault(first, set()).add(second)
+    if not followers:
+        return None
+    ways = "|".join(f"{a}[^a-z0-9]+(?:{'|'.join(sorted(b))})" for a, b in sorted(followers.items()))
+    return f"(?<![a-z0-9])(?:{ways})(?![a-z0-9])"
 
 
 def scan_licenses(
@@ -63,7 +94,8 @@ def scan_licenses(
 
     Each line of a text of several lines, and each whole text (line_no -1), is compared with every
     template that its size allows: 2 * common / (a + b) >= least needs
-    least / (2 - least) <= a / b <= (2 - least) / least. The best template counts, at equal
+    least / (2 - least) <= a / b <= (2 - least) / least. Bigrams are formed only of texts, then lines,
+    that hold a bigram which every match must have (:func:`seeds`). The best template counts, at equal
     coefficients the first by name. Common bigrams are counted by one join with the
     templates' bigrams, before any shuffle; only what matches moves.
 
@@ -76,16 +108,26 @@ def scan_licenses(
     )
     sizes = [r[0] for r in known.select("n_template").distinct().collect()]
     ratio = (2 - least) / least
+    pattern = seeds(templates, least)
+    hit = F.lower("text").rlike(pattern) if pattern else F.lit(False)
     lines = F.split("text", "\n")
-    units = docs.where("text is not null").select(
-        "doc_id", F.posexplode(F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.array("text")))
+    # outer: explode would evaluate its array a second time, to see whether it is empty
+    units = docs.where(F.col("text").isNotNull() & hit).select(
+        "doc_id",
+        F.posexplode_outer(F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.array("text"))),
     )
-    units = (
-        units.select("doc_id", (F.col("pos") - 1).alias("line_no"), F.xxhash64("col").alias("unit"), bigrams(F.col("col")).alias("pairs"))
-        .withColumn("n_bigrams", F.size("pairs"))
-        .where(F.col("n_bigrams").between(min(sizes, default=0) / ratio, max(sizes, default=-1) * ratio))
+    hit = F.lower("col").rlike(pattern) if pattern else F.lit(False)
+    low, high = min(sizes, default=0) / ratio, max(sizes, default=-1) * ratio
+    sized = F.transform(
+        F.array(bigrams(F.col("col"))),
+        lambda p: F.when(
+            F.size(p).between(low, high), F.transform(p, lambda x: F.struct(x.alias("pair"), F.size(p).alias("n")))
+        ),
+    )[0]
+    units = units.where(hit).select(
+        "doc_id", (F.col("pos") - 1).alias("line_no"), F.xxhash64("col").alias("unit"), F.explode_outer(sized).alias("x")
     )
-    found = units.select("doc_id", "line_no", "unit", "n_bigrams", F.explode("pairs").alias("pair"))
+    found = units.select("doc_id", "line_no", "unit", F.col("x.n").alias("n_bigrams"), F.col("x.pair").alias("pair"))
     known = known.withColumnRenamed("pair", "known")
     few = sum(len(text.split()) for _, text in templates) <= BROADCAST_BIGRAMS
     common = (

@@ -2,6 +2,7 @@
 
 import hashlib
 import pathlib
+import random
 import re
 import sys
 import zlib
@@ -16,7 +17,7 @@ from crowdlane.llm.chat_rotation import rotate_perspectives  # noqa: E402
 from crowdlane.llm.decontaminate import find_leaks  # noqa: E402
 from crowdlane.llm.imatch import fingerprints  # noqa: E402
 from crowdlane.llm.language_id import identify_languages, train  # noqa: E402
-from crowdlane.llm.license_scan import scan_licenses  # noqa: E402
+from crowdlane.llm.license_scan import TEMPLATES, scan_licenses  # noqa: E402
 from crowdlane.llm.line_dedup import edit_distance, repeated_lines  # noqa: E402
 from crowdlane.llm.mixing import fit, mix_sources  # noqa: E402
 from crowdlane.llm.ngram_join import ngram_components  # noqa: E402
@@ -253,6 +254,27 @@ def test_licenses(spark, odd, empty):
     assert scan_licenses(odd).count() == 0 and scan_licenses(empty).count() == 0
 
 
+def test_licenses_equal_brute_force(spark):
+    rng = random.Random(5)
+    pairs = lambda words: set(zip(words, words[1:]))
+    split = lambda text: [w for w in re.split("[^a-z0-9]+", text.lower()) if w]
+    texts = []
+    for _, text in TEMPLATES:
+        for _ in range(25):
+            words = text.split()
+            for _ in range(rng.randrange(1 + len(words) // 5)):
+                words[rng.randrange(len(words))] = rng.choice(["the", "such", "License,", ""])
+            texts.append(" ".join([*["here"] * rng.randrange(3), *words]))
+    wanted = set()
+    for i, text in enumerate(texts):
+        own = pairs(split(text))
+        scores = [(-2 * len(own & pairs(split(t))) / (len(own) + len(pairs(split(t)))), name) for name, t in TEMPLATES]
+        if -min(scores)[0] >= 0.8:
+            wanted.add((i, min(scores)[1]))
+    got = scan_licenses(docs(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()
+    assert {(r.doc_id, r.license) for r in got} == wanted and 100 < len(wanted) < len(texts)
+
+
 def test_pipeline(spark, odd):
     import corpus_pipeline as pipeline
 
