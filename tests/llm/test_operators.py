@@ -250,7 +250,8 @@ def test_rotation_cuts_long_dialogues(spark):
 def test_licenses(spark, odd, empty):
     rows = [(1, "Words.\nReleased under the MIT License.\nMore.", "a"), (2, "licensed under the apache license version 2.0", "a"), (3, "Released papers", "a")]
     got = scan_licenses(docs(spark, rows)).collect()
-    assert sorted((r.doc_id, r.line_no, r.license) for r in got) == [(1, 1, "mit"), (2, -1, "apache-2.0")]
+    # the whole first text has six bigrams, four of them in the template's four: 8 / 10, just enough
+    assert sorted((r.doc_id, r.line_no, r.license) for r in got) == [(1, -1, "mit"), (1, 1, "mit"), (2, -1, "apache-2.0")]
     assert scan_licenses(odd).count() == 0 and scan_licenses(empty).count() == 0
 
 
