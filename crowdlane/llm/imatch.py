@@ -27,8 +27,9 @@ def lexicon(docs: DataFrame, low: float, high: float) -> DataFrame:
     there are at most m * exp(high) such terms, however many documents there are.
     """
     n = docs.count()
-    df = docs.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").count()
-    return df.where(F.col("count").between(n / math.exp(high), n / math.exp(low))).select("term")
+    # outer: explode would evaluate its array a second time, to see whether it is empty
+    df = docs.select(F.explode_outer(terms(F.col("text"))).alias("term")).groupBy("term").count()
+    return df.where("term is not null").where(F.col("count").between(n / math.exp(high), n / math.exp(low))).select("term")
 
 
 def _following(docs: DataFrame) -> DataFrame:
@@ -124,7 +125,7 @@ def fingerprints(docs: DataFrame, low: float = 3.0, high: float = 7.0, short: in
         .withColumn(
             "x",
             # a row for the document itself, w = 2, and one per term of either text
-            F.explode(
+            F.explode_outer(
                 F.expr(
                     """concat(array(named_struct('w', 2, 't', 0L)), transform(t0, t -> named_struct('w', 0, 't', t)),
                               transform(t1, t -> named_struct('w', 1, 't', t)))"""
