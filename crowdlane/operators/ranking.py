@@ -2,43 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 4096
+DIGIT = 16
 
 
 def with_position(df: DataFrame, key: str) -> DataFrame:
     """1-based position of each row in the order of a unique integer ``key``, and the row total.
 
-    The key span is cut into ``BUCKETS`` equal ranges and each of these again.
-    Cells are counted, the counts accumulated inside a range and over the ranges (at
-    most ``BUCKETS`` rows each), and rows are ranked only inside their cell. Keys
-    being unique, a cell of a 32-bit key holds at most 256 rows however the keys
-    cluster; the table is never sorted as a whole.
+    A key of 64 bits is read as four digits of ``DIGIT`` bits. Rows are counted by all digits but the last,
+    and these counts by fewer digits; each count is accumulated among its siblings, and rows are ranked only
+    among those that agree in all but the last digit. Keys being unique, no window holds more than
+    65,536 rows however the keys are spread, and the table is never sorted as a whole. The cells depend on
+    the key alone, so a task that runs again sees the same ones. Rows without a key have no position and go.
     """
-    lo = df.agg(F.min(key)).scalar()
-    width = df.agg(F.ceil((F.max(key) - F.min(key) + 1) / BUCKETS)).scalar()
-    fine = df.agg(F.ceil((F.max(key) - F.min(key) + 1) / BUCKETS / BUCKETS)).scalar()
-    offset = F.col(key) - lo
-    placed = df.withColumns({"_range": offset - offset % width, "_cell": offset % width - offset % width % fine})
-    cells = placed.groupBy("_range", "_cell").agg(F.count("*").alias("_n"))
-    ranges = cells.groupBy("_range").agg(F.sum("_n").alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select(
-        "_range",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+    coarser = lambda c: F.shiftright(c, DIGIT)
+    placed = df.where(F.col(key).isNotNull()).withColumn("_cell", coarser(F.col(key).cast("bigint")))
+    cells = placed.groupBy("_cell").agg(F.count("*").alias("_n"))
+    ranges = cells.groupBy(coarser("_cell").alias("_range")).agg(F.sum("_n").alias("_n"))
+    tops = ranges.groupBy(coarser("_range").alias("_top")).agg(F.sum("_n").alias("_n"))
+
+    def before(window) -> Column:
+        return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    tops = tops.select(
+        "_top",
+        before(Window.orderBy("_top")).alias("_tops_before"),
         F.sum("_n").over(Window.partitionBy()).alias("row_total"),
     )
-    inside = Window.partitionBy("_range").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cells.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).drop("_n").join(ranges, "_range")
-    )
-    rank = F.row_number().over(Window.partitionBy("_range", "_cell").orderBy(key))
-    return (
-        placed.join(offsets, ["_range", "_cell"])
-        .withColumn("position", F.col("_before") + F.col("_inside") + rank)
-        .drop("_range", "_cell", "_before", "_inside")
+    ranges = ranges.withColumn("_top", coarser("_range"))
+    ranges = ranges.withColumn("_ranges_before", before(Window.partitionBy("_top").orderBy("_range"))).drop("_n")
+    cells = cells.withColumn("_range", coarser("_cell"))
+    cells = cells.withColumn("_cells_before", before(Window.partitionBy("_range").orderBy("_cell"))).drop("_n")
+    offsets = cells.join(ranges.join(tops, "_top"), "_range").select(
+        "_cell", F.expr("_tops_before + _ranges_before + _cells_before").alias("_before"), "row_total"
     )
+    rank = F.row_number().over(Window.partitionBy("_cell").orderBy(key))
+    return placed.join(offsets, "_cell").withColumn("position", F.col("_before") + rank).drop("_cell", "_before")
 
 
 def venue_groups(venues: DataFrame, groups: int = 4) -> DataFrame:

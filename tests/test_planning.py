@@ -170,3 +170,21 @@ def test_whole_days_truncate_toward_zero(spark):
     df = spark.createDataFrame([(t,) for t in times], "t TIMESTAMP_NTZ")
     assert [r[0] for r in df.select(clock.whole_days_between(F.col("t"), now)).collect()] == [1, 0, 0, -1]
     assert DAY.weekday() == 2
+
+
+def test_positions_hold_for_any_spread_of_ids(spark):
+    far = [-(2**62), -1, 2**40, 2**62]
+    ids = spark.range(200_000).union(spark.createDataFrame([(i,) for i in [*far, None]], "id BIGINT"))
+    got = ranking.with_position(ids.withColumn("note", F.lit("x")), "id")
+    assert set(got.columns) == {"id", "note", "position", "row_total"}
+    wrong = got.where("id between 0 and 199999 and position <> id + 3 or row_total <> 200004").count()
+    assert wrong == 0 and got.count() == 200_004
+    assert {r.id: r.position for r in got.where(F.col("id").isin(far)).collect()} == {
+        -(2**62): 1, -1: 2, 2**40: 200_003, 2**62: 200_004
+    }
+
+
+def test_no_window_of_positions_holds_more_than_a_digit(spark):
+    cells = spark.range(200_000).union(spark.createDataFrame([(2**62,)], "id BIGINT"))
+    sizes = cells.groupBy(F.shiftright("id", ranking.DIGIT)).count().agg(F.max("count")).first()[0]
+    assert sizes <= 1 << ranking.DIGIT
