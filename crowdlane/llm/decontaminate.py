@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words."""
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from . import words as wd
 from .scratch import store
@@ -68,38 +68,29 @@ def _padded(rows: list[np.ndarray], filler: int) -> np.ndarray:
     return out
 
 
-def seeds_of(docs: DataFrame, items: DataFrame, k: int, share: float) -> DataFrame:
-    """gram, item_id, at, n_item: of each item's grams the ``share`` that is rarest in all of ``docs``."""
-    own = store(_grams(items, k).withColumnRenamed("id", "item_id").withColumnRenamed("n_words", "n_item"), "item-grams")
-    seen = _grams(docs, k, Sieve(own, "gram"))
-    # distinct per document, added up per task before they move
-    counts = seen.select("id", "gram").distinct().groupBy("gram").agg(F.count("*").alias("df"))
-    order = Window.partitionBy("item_id").orderBy("df", "gram", "at")
-    ranked = own.join(counts.selectExpr("~~gram as gram", "df"), "gram").withColumn("rank", F.row_number().over(order))
-    of_item = own.groupBy("item_id").agg(F.count("*").alias("grams"))
-    kept = ranked.join(of_item, "item_id").where(F.col("rank") <= F.ceil(F.col("grams") * share))
-    return kept.select("gram", "item_id", "at", "n_item")
+def seeds_of(items: DataFrame, k: int) -> DataFrame:
+    """gram, item_id, at, n_item: every gram of each item; their number is bounded by the benchmark."""
+    grams = _grams(items, k).withColumnRenamed("id", "item_id").withColumnRenamed("n_words", "n_item")
+    return grams.select("gram", "item_id", "at", "n_item").distinct()
 
 
-def find_leaks(
-    docs: DataFrame, items: DataFrame, k: int = 4, share: float = 0.75, least: float = 0.5
-) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, k: int = 4, least: float = 0.5) -> DataFrame:
     """doc_id, item_id, score, start_word, end_word: the test items found in each document.
 
-    ``docs`` has doc_id and text, ``items`` item_id and text. Where a rare seed of an item occurs in a
-    text, the words around it are aligned with the item (match +2, miss and gap -1, local);
+    ``docs`` has doc_id and text, ``items`` item_id and text. Where any ``k`` words of an item stand in a
+    text as in the item, the words around it are aligned with the item (match +2, miss and gap -1, local);
     ``score`` is the best alignment's over that of the whole item with itself, and the item is found from
     ``least`` on: whole copies have 1, copies with a fifth of the words replaced about 0.7. The best
     place of each (document, item) is returned with its words [start, end).
 
-    Seeds are ranked within their item and not cut by a frequency, so an item that has leaked into many
-    documents is still found. Items or texts that are null or empty find nothing; an item shorter than ``k``
+    Every gram of an item is a seed, however often it occurs, so neither an item that has leaked into many
+    documents nor its edited copies are missed. A copy without ``k`` neighbouring words in place has no seed. Items or texts that are null or empty find nothing; an item shorter than ``k``
     words is one seed. Rows without id are left out; rows of one doc_id with different texts count together.
     Repeated rows change nothing. Other columns are ignored.
     """
     docs = docs.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text")
     items = items.where("item_id is not null").select(F.col("item_id").alias("id"), "text")
-    seeds = store(seeds_of(docs, items, k, share), "seeds")
+    seeds = store(seeds_of(items, k), "seeds")
     hits = _grams(docs, k, Sieve(seeds, "gram"))
     # the stretch of text that an item with this seed would take, in steps of its own length
     places = hits.withColumnRenamed("at", "place").withColumnRenamed("n_words", "n_text").join(seeds, "gram")

@@ -199,6 +199,16 @@ def test_leaks(spark, odd, empty):
     assert find_leaks(odd, items.limit(0)).count() == 0
 
 
+def test_edited_leaks_beside_a_verbatim_one(spark):
+    # the grams that edited copies share are the commonest of the item
+    item = sentence(40, 6).split()
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    copies = [item, *([w if i % 5 < 4 else f"e{i}x{c}" for i, w in enumerate(item)] for c in range(3))]
+    rows = [(i, f"{sentence(50, 10 + i)} {' '.join(t)} {sentence(50, 20 + i)}", "a") for i, t in enumerate(copies)]
+    got = {r.doc_id: r.score for r in find_leaks(docs(spark, rows), items).collect()}
+    assert set(got) == {0, 1, 2, 3} and got[0] == 1 and all(0.65 < got[i] < 0.75 for i in (1, 2, 3))
+
+
 def test_quality(spark, odd, empty):
     labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", F.col("quality").alias("y"))
     got = queries.op6_quality_classifier(spark, SF).join(labels, "doc_id").toPandas()
