@@ -300,6 +300,19 @@ def test_pipeline(spark, odd):
     assert sum(r.text == sentence(30) for r in near) == 1
 
 
+def test_pipeline_near_copies(spark):
+    import corpus_pipeline as pipeline
+
+    # Jaccard 0.885 over 3 words, 0.81 over 5
+    text = [f"v{i}" for i in range(100)]
+    copy = [{30: "x", 60: "y"}.get(i, w) for i, w in enumerate(text)]
+    other = [{30: "x", 50: "y", 70: "z"}.get(i, f"u{w}") for i, w in enumerate(text)]
+    far = [{20: "x", 40: "y", 60: "z"}.get(i, w[1:]) for i, w in enumerate(other)]
+    rows = [(i, " ".join(t), "a") for i, t in enumerate([text, copy, other, far])]
+    plain = docs(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    assert {r.doc_id for r in pipeline.ngram_join(spark, plain, SF).collect()} == {0, 2, 3}
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
     sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[2] / "tools"))
