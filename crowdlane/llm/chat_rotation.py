@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 SYSTEM, UNKNOWN = "system", "unknown"
 
@@ -19,25 +19,47 @@ def rotate_perspectives(turns: DataFrame, turns_per_example: int = 64) -> DataFr
     ``mask_spans`` has the [start, end) code points to learn from: text and end mark of the
     speaker's own turns. ``<|`` inside a text or name becomes ``< |``, so that no text can forge a mark.
 
-    Dialogues are cut into parts of ``turns_per_example`` turn numbers, so that no row holds an unbounded
-    dialogue; a part has the perspectives of those who speak in it. Turns with equal numbers
+    Dialogues are cut into parts of ``turns_per_example`` rows in their order, so that no row holds an unbounded
+    dialogue. Every part has the perspectives of all participants of the dialogue, also of those silent in it, and
+    begins with the system turns from before it, each text once; ``n_turns`` counts these too. Turns with equal numbers
     are ordered by name, then text; repeated rows stay. A null or blank role is ``unknown``, null text is empty.
-    Rows without turn number have no order: they form parts of their own by a hash, numbered below zero.
-    Rows with null conv_id form the dialogue null. A part with system turns only gives
-    no row. Other columns are ignored.
+    Rows without turn number have no order: they form parts of their own, numbered below zero.
+    Rows with null conv_id are not known to be one dialogue: they are cut alike, but their parts share
+    neither participants nor system turns. A dialogue with system turns only gives no row. Other columns are ignored.
     """
     safe = lambda c: F.replace(c, F.lit("<|"), F.lit("< |"))
     name = safe(F.coalesce(F.expr("nullif(trim(role), '')"), F.lit(UNKNOWN)))
-    rows = turns.select(
-        "conv_id",
-        F.coalesce(
-            F.floor(F.col("turn") / turns_per_example), -1 - F.pmod(F.xxhash64("role", "text"), F.lit(1024))
-        ).alias("part"),
-        F.struct("turn", name.alias("name"), safe(F.coalesce("text", F.lit(""))).alias("text")).alias("t"),
+    said = turns.select("conv_id", "turn", name.alias("name"), safe(F.coalesce("text", F.lit(""))).alias("text"))
+    # both are running counts, so a dialogue is sorted but never held; rows without turn number come first
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "name", "text")
+    none = F.sum(F.col("turn").isNull().cast("bigint")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = said.withColumn("row", F.row_number().over(order).cast("bigint") - 1).withColumn("none", none)
+    rows = rows.withColumn("place", F.expr("if(turn is null, null, row - none)"))
+    rows = rows.withColumn(
+        "part", F.expr(f"if(turn is null, -1 - (row div {turns_per_example}), place div {turns_per_example})")
+    )
+    whole = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "name", "text"))).alias("own"))
+    # of each dialogue: who speaks, and where each system text stands first; added up before it moves
+    first = (
+        said.where("conv_id is not null")
+        .groupBy("conv_id", "name", F.expr(f"if(name = '{SYSTEM}', text, null)").alias("text"))
+        .agg(F.min("turn").alias("turn"))
+    )
+    dialogues = first.groupBy(F.col("conv_id").alias("conv")).agg(
+        F.collect_set(F.expr(f"if(name <> '{SYSTEM}', name, null)")).alias("names"),
+        F.sort_array(
+            F.collect_list(F.expr(f"if(name = '{SYSTEM}' and turn is not null, struct(turn, name, text), null)"))
+        ).alias("prompts"),
+    )
+    names = F.expr(f"coalesce(names, array_distinct(filter(own.name, x -> x <> '{SYSTEM}')))")
+    shown = F.expr(
+        """concat(
+            transform(filter(coalesce(prompts, array()), x -> part < 0 or x < own[0]),
+                x -> named_struct('name', x.name, 'text', x.text)),
+            transform(own, x -> named_struct('name', x.name, 'text', x.text)))"""
     )
-    whole = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    names = F.expr(f"array_distinct(filter(turns.name, x -> x <> '{SYSTEM}'))")
-    each = whole.select("conv_id", "part", "turns", F.explode(names).alias("speaker"))
+    parts = whole.join(dialogues, F.col("conv_id") == F.col("conv"), "left").select("conv_id", "part", shown.alias("turns"), names.alias("names"))
+    each = parts.select("conv_id", "part", "turns", F.explode("names").alias("speaker"))
     pieces = F.expr(
         f"""transform(turns, t -> named_struct(
             'mine', t.name = speaker,

@@ -257,6 +257,20 @@ def test_rotation_cuts_long_dialogues(spark):
     assert len(got) == 8 and sum(r.n_turns for r in got) == 400
 
 
+def test_rotation_keeps_prompt_and_participants_in_every_part(spark):
+    rows = [(1, 0, "system", "Be kind."), *((1, i, "c" if i == 150 else "ab"[i % 2], f"t{i}") for i in range(1, 200))]
+    rows += [(2, 5, "a", f"r{i}") for i in range(100)] + [(None, 0, "a", "x"), (1, None, "d", "y")]
+    got = rotate_perspectives(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()
+    one = [r for r in got if r.conv_id == 1]
+    assert {(r.part, r.speaker) for r in one} == {(p, s) for p in (-1, 0, 1, 2, 3) for s in "abcd"}
+    assert all(r.rendered.count("<|system|>") == 1 and r.rendered.startswith("<|system|>\nBe kind.<|end|>\n") for r in one)
+    assert {(r.part, r.n_turns) for r in one} == {(-1, 2), (0, 64), (1, 65), (2, 65), (3, 9)}
+    c = {r.part: [r.rendered[s.start : s.end] for s in r.mask_spans] for r in one if r.speaker == "c"}
+    assert c == {-1: [], 0: [], 1: [], 2: ["t150<|end|>\n"], 3: []}
+    assert sorted((r.part, r.n_turns) for r in got if r.conv_id == 2) == [(0, 64), (1, 36)]
+    assert [(r.part, r.speaker) for r in got if r.conv_id is None] == [(0, "a")]
+
+
 def test_licenses(spark, odd, empty):
     rows = [(1, "Words.\nReleased under the MIT License.\nMore.", "a"), (2, "licensed under the apache license version 2.0", "a"), (3, "Released papers", "a")]
     got = scan_licenses(docs(spark, rows)).collect()
