@@ -102,6 +102,11 @@ def scan_licenses(
     Null, empty and short texts match nothing. Rows that repeat doc_id and text give one
     row per line; rows of one doc_id with different texts give theirs each. Other columns are ignored.
     """
+    return _units(docs, templates, least).select("doc_id", "line_no", "b.license", "b.dice", "n_bigrams")
+
+
+def _units(docs: DataFrame, templates: Sequence[tuple[str, str]], least: float) -> DataFrame:
+    """doc_id, line_no, unit, n_bigrams, b: what :func:`scan_licenses` finds, with the hash of the line or text."""
     spark = docs.sparkSession
     known = spark.createDataFrame(list(templates), "license string, text string").select(
         "license", F.explode(bigrams(F.col("text"))).alias("pair"), F.size(bigrams(F.col("text"))).alias("n_template")
@@ -137,13 +142,76 @@ def scan_licenses(
         .agg(F.size(F.collect_set("pair")).alias("common"))
     )
     dice = 2 * F.col("common") / (F.col("n_bigrams") + F.col("n_template"))
-    best = (
+    return (
         common.withColumn("dice", dice)
         .where(F.col("dice") >= least)
         .groupBy("doc_id", "line_no", "unit", "n_bigrams")
         .agg(F.min(F.struct((-F.col("dice")).alias("d"), "license", "dice")).alias("b"))
     )
-    return best.select("doc_id", "line_no", "b.license", "b.dice", "n_bigrams")
+
+
+def scan_windows(
+    docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = 0.8
+) -> DataFrame:
+    """doc_id, line_no, license, dice, n_bigrams: licence notices that are neither a line nor a whole text.
+
+    A notice may be wrapped over several lines or stand within a longer line. For every template, the stretches
+    of words between any two of its bigrams in a text, across line breaks, of at most (2 - least) / least times its size
+    are compared with it; a stretch that matches best without these ends is no match better. Of
+    stretches that overlap the best counts, then the first; line_no is where it begins. Stretches that lie in a line that
+    matches a template are left out, and those that meet a line, or a whole text, that matches the same one.
+    """
+    pattern = seeds(templates, least)
+    if not pattern:
+        return scan_licenses(docs, templates, least)
+    ratio = (2 - least) / least * (1 + 1e-9)
+    known = []
+    for name, text in templates:
+        words = [w for w in re.split("[^a-z0-9]+", text.lower()) if w]
+        pairs = sorted({" ".join(x) for x in zip(words, words[1:])})
+        if pairs:
+            need, most = max(1, math.ceil(len(pairs) / ratio)), int(len(pairs) * ratio)
+            known.append((F.lit(name), F.array(*map(F.lit, pairs)), F.lit(need), F.lit(most)))
+    known = F.array(*(F.struct(*(c.alias(n) for c, n in zip(x, ("license", "pairs", "need", "most")))) for x in known))
+    texts = docs.where(F.col("text").isNotNull() & F.lower("text").rlike(pattern)).select("doc_id", "text").distinct()
+    words = F.expr(
+        """filter(flatten(transform(split(text, '\\n'), (l, i) ->
+            transform(split(lower(l), '[^a-z0-9]+'), w -> named_struct('w', w, 'line', i)))), x -> x.w <> '')"""
+    )
+    pairs = F.expr(
+        """transform(sequence(0, size(w) - 2), i -> named_struct(
+            'at', i, 'pair', concat(w[i].w, ' ', w[i + 1].w), 'first', w[i].line, 'last', w[i + 1].line))"""
+    )
+    each = texts.withColumn("w", words).where("size(w) > 1").select("doc_id", "text", pairs.alias("p"), F.explode(known).alias("k"))
+    each = each.withColumn("m", F.expr("filter(p, x -> array_contains(k.pairs, x.pair))")).where("size(m) >= k.need")
+    tried = F.expr(
+        """flatten(transform(sequence(0, size(m) - k.need), i -> transform(
+            filter(sequence(i + k.need - 1, least(size(m), i + k.most) - 1), j -> m[j].at - m[i].at < k.most),
+            j -> named_struct('a', m[i].at, 'b', m[j].at, 'first', m[i].first, 'last', m[j].last,
+                'common', size(array_distinct(transform(slice(m, i + 1, j - i + 1), x -> x.pair))),
+                'n', size(array_distinct(transform(slice(p, m[i].at + 1, m[j].at - m[i].at + 1), x -> x.pair)))))))"""
+    )
+    scored = F.expr(
+        f"""array_sort(filter(transform(tried, x -> named_struct(
+            'worse', -2 * x.common / (x.n + size(k.pairs)), 'a', x.a, 'b', x.b, 'first', x.first, 'last', x.last, 'n', x.n)),
+            x -> -x.worse >= {least}D))"""
+    )
+    apart = F.expr(
+        """aggregate(scored, slice(scored, 1, 0),
+            (had, x) -> if(exists(had, y -> x.a <= y.b and y.a <= x.b), had, concat(had, array(x))))"""
+    )
+    found = each.withColumn("tried", tried).withColumn("scored", scored).where("size(scored) > 0")
+    found = found.select("doc_id", "text", F.col("k.license").alias("license"), F.explode(apart).alias("x"))
+    found = found.select("doc_id", "text", "license", "x.first", "x.last", (-F.col("x.worse")).alias("dice"), F.col("x.n").alias("n_bigrams"))
+    # the lines and texts that match by themselves, of the texts in question
+    id_of, unit = F.struct("doc_id", F.xxhash64("text").alias("th")), F.expr("if(unit_no < 0, text, split(text, '\\n')[unit_no])")
+    met = found.withColumn("unit_no", F.explode(F.expr("concat(array(-1), sequence(first, last))"))).withColumn("unit", F.xxhash64(unit))
+    whole = _units(docs, templates, least).selectExpr("doc_id as id", "line_no", "unit as known_unit", "b.license as own")
+    same = "doc_id <=> id and unit = known_unit and unit_no = line_no and (license = own or (first = last and unit_no = first))"
+    covered = met.join(whole, F.expr(same), "left_semi").select(id_of.alias("who"), "license", "first", "last", "n_bigrams").distinct()
+    on = ["who", "license", "first", "last", "n_bigrams"]
+    left = found.withColumn("who", id_of).join(covered, on, "left_anti")
+    return left.select("doc_id", F.col("first").alias("line_no"), "license", "dice", "n_bigrams")
 
 
 def oracle(templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = 0.8) -> str:

@@ -65,7 +65,9 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
+    """Lines and whole texts, and the notices that stand across or within lines."""
+    docs = read(spark, sf_dir, "documents")
+    return license_scan.scan_licenses(docs).union(license_scan.scan_windows(docs))
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

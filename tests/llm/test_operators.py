@@ -17,7 +17,7 @@ from crowdlane.llm.chat_rotation import rotate_perspectives  # noqa: E402
 from crowdlane.llm.decontaminate import find_leaks  # noqa: E402
 from crowdlane.llm.imatch import fingerprints  # noqa: E402
 from crowdlane.llm.language_id import identify_languages, train  # noqa: E402
-from crowdlane.llm.license_scan import TEMPLATES, scan_licenses  # noqa: E402
+from crowdlane.llm.license_scan import TEMPLATES, scan_licenses, scan_windows  # noqa: E402
 from crowdlane.llm.line_dedup import edit_distance, repeated_lines  # noqa: E402
 from crowdlane.llm.mixing import fit, mix_sources  # noqa: E402
 from crowdlane.llm.ngram_join import ngram_components  # noqa: E402
@@ -279,6 +279,17 @@ def test_licenses(spark, odd, empty):
     assert scan_licenses(odd).count() == 0 and scan_licenses(empty).count() == 0
 
 
+def test_licenses_across_and_within_lines(spark, odd, empty):
+    text = dict(TEMPLATES)
+    wrap = lambda t: "\n".join(re.findall(r".{1,60}(?:\s|$)", t))
+    rows = [(i, f"{sentence(200, i)}\n{wrap(text[n])}\n{sentence(200, 50 + i)}", "a") for i, n in enumerate(("isc", "mit-permission"))]
+    rows += [(2, f"{sentence(40)} {text['mit']} {sentence(40, 2)}\nand\n{sentence(40)} {text['mit']} {sentence(40, 2)}", "a")]
+    rows += [(3, "Words.\nReleased under the MIT License.\nMore.", "a"), (3, sentence(30), "a")]
+    got = [(r.doc_id, r.line_no, r.license, r.dice) for r in scan_windows(docs(spark, rows)).collect()]
+    assert sorted(got) == [(0, 1, "isc", 1), (1, 1, "mit-permission", 1), (2, 0, "mit", 1), (2, 2, "mit", 1)]
+    assert scan_windows(odd).count() == 0 and scan_windows(empty).count() == 0
+
+
 def test_licenses_equal_brute_force(spark):
     rng = random.Random(5)
     pairs = lambda words: set(zip(words, words[1:]))
