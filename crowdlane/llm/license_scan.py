@@ -8,6 +8,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .scratch import store
+
 #: Well-known public licence notices.
 TEMPLATES = [
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -203,10 +205,11 @@ def scan_windows(
     found = each.withColumn("tried", tried).withColumn("scored", scored).where("size(scored) > 0")
     found = found.select("doc_id", "text", F.col("k.license").alias("license"), F.explode(apart).alias("x"))
     found = found.select("doc_id", "text", "license", "x.first", "x.last", (-F.col("x.worse")).alias("dice"), F.col("x.n").alias("n_bigrams"))
+    found = store(found, "notices")  # few rows, read three times
     # the lines and texts that match by themselves, of the texts in question
     id_of, unit = F.struct("doc_id", F.xxhash64("text").alias("th")), F.expr("if(unit_no < 0, text, split(text, '\\n')[unit_no])")
     met = found.withColumn("unit_no", F.explode(F.expr("concat(array(-1), sequence(first, last))"))).withColumn("unit", F.xxhash64(unit))
-    whole = _units(docs, templates, least).selectExpr("doc_id as id", "line_no", "unit as known_unit", "b.license as own")
+    whole = _units(found.select("doc_id", "text").distinct(), templates, least).selectExpr("doc_id as id", "line_no", "unit as known_unit", "b.license as own")
     same = "doc_id <=> id and unit = known_unit and unit_no = line_no and (license = own or (first = last and unit_no = first))"
     covered = met.join(whole, F.expr(same), "left_semi").select(id_of.alias("who"), "license", "first", "last", "n_bigrams").distinct()
     on = ["who", "license", "first", "last", "n_bigrams"]
