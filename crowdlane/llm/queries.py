@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import chat_rotation, license_scan
@@ -13,6 +15,7 @@ from .language_id import identify_languages, train
 from .line_dedup import repeated_lines
 from .mixing import mix_sources
 from .ngram_join import ngram_components
+from .periodic_runs import periodic_runs
 from .quality import score_quality
 from .scratch import read, ship
 from .substring_dedup import repeated_passages
@@ -74,6 +77,50 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
 
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """doc_id, text; texts with h = crc32(doc_id) divisible by 10 repeat p words from word a on, p and a by h.
+
+    A null doc_id has no h, and its text stays as it is.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, out = batch.column(0).to_pylist(), batch.column(1)
+            marks = [zlib.crc32(str(i).encode()) if i is not None else 1 for i in ids]
+            if any(h % 10 == 0 for h in marks):
+                texts = out.to_pylist()
+                for at, h in enumerate(marks):
+                    words = texts[at].encode().split() if h % 10 == 0 and texts[at] else []
+                    if words:
+                        n, g = len(words), h // 10
+                        a = g % n
+                        p = 1 + (n - a) // (3 + g % 8)
+                        words[a:] = (words[a : a + p] * -(-(n - a) // p))[: n - a]
+                        texts[at] = b" ".join(words).decode()
+                out = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), out], names=["doc_id", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, text string")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of runs, the longest (the first at ties, then that of least period), and digests of runs and kept words."""
+    rows = periodic_runs(_made_periodic(read(spark, sf_dir, "documents")))
+    best = rows.withColumn(
+        "best", F.expr("array_max(transform(runs, r -> named_struct('length', r.length, 'start', -r.start, 'period', -r.period)))")
+    )
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.expr("-best.start").alias("start"),
+        F.expr("best.length").alias("length"),
+        F.expr("-best.period").alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.expr("sha2(array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), ''), 256)").alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -95,6 +142,7 @@ QUERIES: dict[str, Query] = {
         op8_ngram_jaccard_join,
         op9_license_scan,
         op10_source_mixing,
+        op13_periodic_runs,
     )
 }
 
