@@ -8,7 +8,9 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import chat_rotation, license_scan
+from crowdlane.operators.skew import splittable
+
+from . import chat_rotation, license_scan, prefix_trie
 from .decontaminate import find_leaks
 from .imatch import fingerprints
 from .language_id import identify_languages, train
@@ -17,7 +19,7 @@ from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .periodic_runs import periodic_runs
 from .quality import score_quality
-from .scratch import read, ship
+from .scratch import read, ship, store
 from .substring_dedup import repeated_passages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +79,41 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
 
+def _rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(turns, conv_id and length of each conversation): of c, the first h turns of c - c % 5, then its own after its first h.
+
+    h is crc32(c) % 9; ``turns`` are those of :func:`prefix_trie.ordered_turns`.
+    """
+    turns = store(turns, "turns")
+    own = turns.groupBy("conv_id").agg(F.max("place").alias("n"))
+    heads = turns.where("place <= 8 and conv_id % 5 = 0").groupBy(F.col("conv_id").alias("base")).agg(
+        F.array_sort(F.collect_list(F.struct("place", "a", "b", "bytes"))).alias("head")
+    )
+    made = own.withColumns({"base": F.expr("conv_id - conv_id % 5"), "h": F.expr("crc32(cast(conv_id as string)) % 9")})
+    made = made.join(heads, "base", "left").withColumn("head", F.expr("slice(coalesce(head, array()), 1, int(h))"))
+    made = store(made.select("conv_id", "h", "head"), "heads")
+    first = made.select("conv_id", F.inline("head"))
+    shift = made.selectExpr("conv_id", "h", "size(head) - h as shift")
+    rest = turns.join(splittable(shift, "conv_id"), "conv_id").where("place > h")
+    return first.union(rest.selectExpr("conv_id", "place + shift as place", "a", "b", "bytes")), made.select("conv_id")
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, conversations = _rebuilt(prefix_trie.ordered_turns(read(spark, sf_dir, "conversations")))
+    nodes, ends = prefix_trie.prefix_trie(turns, conversations)
+    rows = nodes.join(prefix_trie.end_digests(ends), prefix_trie.NODE, "left")
+    return rows.select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.coalesce("ends_sha256", F.lit(prefix_trie.NO_ENDS)).alias("ends_sha256"),
+    )
+
+
 def _made_periodic(docs: DataFrame) -> DataFrame:
     """doc_id, text; texts with h = crc32(doc_id) divisible by 10 repeat p words from word a on, p and a by h.
 
@@ -142,6 +179,7 @@ QUERIES: dict[str, Query] = {
         op8_ngram_jaccard_join,
         op9_license_scan,
         op10_source_mixing,
+        op11_prefix_trie,
         op13_periodic_runs,
     )
 }
@@ -149,4 +187,5 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op4_chat_rotation": chat_rotation.ORACLE,
     "op9_license_scan": license_scan.oracle(),
+    "op11_prefix_trie": prefix_trie.ORACLE,
 }
