@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from crowdlane.operators.skew import splittable
 
-from . import chat_rotation, license_scan, prefix_trie
+from . import chat_rotation, license_scan, prefix_trie, toxicity
 from .decontaminate import find_leaks
 from .imatch import fingerprints
 from .language_id import identify_languages, train
@@ -114,6 +114,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learnt from labels whose crc32(doc_id) mod 5 is not 0; the others are held out. A null doc_id is not."""
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("y"))
+    found = toxicity.score_toxicity(docs, toxicity.train(docs, labels.where(_remainder(5) != 0)))
+    return found.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def _made_periodic(docs: DataFrame) -> DataFrame:
     """doc_id, text; texts with h = crc32(doc_id) divisible by 10 repeat p words from word a on, p and a by h.
 
@@ -180,6 +188,7 @@ QUERIES: dict[str, Query] = {
         op9_license_scan,
         op10_source_mixing,
         op11_prefix_trie,
+        op12_toxicity,
         op13_periodic_runs,
     )
 }
