@@ -82,7 +82,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(turns, conv_id and length of each conversation): of c, the first h turns of c - c % 5, then its own after its first h.
 
-    h is crc32(c) % 9; ``turns`` are those of :func:`prefix_trie.ordered_turns`.
+    h is crc32(c) % 9; the remainder of a negative id is negative, as in SQL. ``turns`` are those of :func:`prefix_trie.ordered_turns`.
     """
     turns = store(turns, "turns")
     own = turns.groupBy("conv_id").agg(F.max("place").alias("n"))
