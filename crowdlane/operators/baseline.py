@@ -68,19 +68,25 @@ def baseline_profile(meas: DataFrame) -> DataFrame:
     )
 
 
+#: the four sums that can serve as baseline of a row, best first
+SLOTS = ["exact", "same_hour", "same_day", "whole_venue"]
+
+
+def slots(dow: Column, hour: Column) -> dict[str, Column]:
+    """Where the SLOTS of a weekday and hour are in a profile."""
+    places = [dow * HOURS + hour, hour + HOUR_SLOT, dow + DAY_SLOT, F.lit(VENUE_SLOT)]
+    return dict(zip(SLOTS, places, strict=True))
+
+
 def with_slots(df: DataFrame, dow: Column, hour: Column) -> DataFrame:
-    """Replace ``profile`` by the four sums that can serve as baseline of the row.
+    """Replace ``profile`` by the SLOTS of the row.
 
     They become columns of their own, so that each is looked up once however often
     it is mentioned later.
     """
-    slots = {
-        "exact": dow * HOURS + hour,
-        "same_hour": hour + HOUR_SLOT,
-        "same_day": dow + DAY_SLOT,
-        "whole_venue": F.lit(VENUE_SLOT),
-    }
-    return df.withColumns({name: F.try_element_at("profile", slot) for name, slot in slots.items()}).drop("profile")
+    return df.withColumns(
+        {name: F.try_element_at("profile", slot) for name, slot in slots(dow, hour).items()}
+    ).drop("profile")
 
 
 def mean_delay(slot: Column) -> Column:

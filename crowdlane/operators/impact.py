@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crowdlane.functions import clock, levels
@@ -32,60 +34,152 @@ VIEW_COLUMNS = [
 ]
 
 
-def _sums(prefix: str = "") -> list[Column]:
-    return [
-        F.count("*").alias(f"{prefix}n"),
-        F.sum("delay_minutes").alias(f"{prefix}sum_delay"),
-        F.count("delay_minutes").alias(f"{prefix}n_delay"),
-        F.max("delay_minutes").alias(f"{prefix}max_delay"),
-        F.sum("avg_speed_mph").alias(f"{prefix}sum_speed"),
-        F.count("avg_speed_mph").alias(f"{prefix}n_speed"),
-    ]
+#: what a sum is looked up by: a key of the row's own, that key with its venue, or its venue
+OWN, OWN_AT_VENUE, VENUE = 0, 1, 2
+KEY = ["kind", "k1", "k2", "k3"]
+#: slots beside those of the baseline profile
+TOTAL, STRAY = baseline.VENUE_SLOT + 1, baseline.VENUE_SLOT + 2
+SUMS = ["n", "sum_delay", "n_delay", "max_delay", "sum_speed", "n_speed", "sum_distance", "n_distance"]
+
+
+def _added(columns: list[str]) -> list[Column]:
+    return [(F.max if c.startswith("max") else F.sum)(c).alias(c) for c in columns]
+
+
+def traffic_cells(meas: DataFrame, keys: Sequence[str] = ("event_id",)) -> DataFrame:
+    """Facts summed per event (``keys``), venue and, where they are baseline rows, weekday and hour.
+
+    All sums of the impact reports are sums of these cells, so the facts are read
+    and shuffled once. Rows that are neither linked nor baseline at a venue are left out.
+    """
+    base = F.coalesce((F.col("is_baseline") == F.lit(True)) & F.col("venue_id").isNotNull(), F.lit(False))
+    return (
+        meas.filter(F.col(keys[0]).isNotNull() | base)
+        .groupBy(
+            *keys,
+            "venue_id",
+            base.alias("is_baseline"),
+            F.when(base, F.col("day_of_week")).alias("day_of_week"),
+            F.when(base, F.col("hour_of_day")).alias("hour_of_day"),
+        )
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("delay_minutes").alias("sum_delay"),
+            F.count("delay_minutes").alias("n_delay"),
+            F.max("delay_minutes").alias("max_delay"),
+            F.sum("avg_speed_mph").alias("sum_speed"),
+            F.count("avg_speed_mph").alias("n_speed"),
+            F.sum("distance_miles").alias("sum_distance"),
+            F.count("distance_miles").alias("n_distance"),
+        )
+    )
+
+
+def _key(df: DataFrame, kind: int, *parts: str, **more: Column) -> Column:
+    """Struct of KEY and ``more``; dates enter as day numbers, places without a part are 0."""
+    types = dict(df.dtypes)
+    numbers = [F.unix_date(p) if types[p] == "date" else F.col(p) for p in parts]
+    numbers += [F.lit(0)] * (len(KEY) - 1 - len(parts))
+    return F.struct(
+        F.lit(kind).alias("kind"),
+        *(x.cast("bigint").alias(k) for k, x in zip(KEY[1:], numbers, strict=True)),
+        *(c.alias(name) for name, c in more.items()),
+    )
+
+
+def _lookups(cells: DataFrame, venues: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per KEY: ``slots``, a map of at most 202 sums, and ``site``, the columns of a venue.
+
+    Each cell counts for its event, for its event at its venue if it is a baseline row
+    that should carry no event, and for the slots of its venue's baseline profile.
+    """
+    dow, hour = F.col("day_of_week"), F.col("hour_of_day")
+    base, linked = F.col("is_baseline"), F.col(keys[0]).isNotNull()
+    day_ok, hour_ok = dow.between(0, baseline.DAYS - 1), hour.between(0, baseline.HOURS - 1)
+
+    def at_venue(when: Column, slot: Column) -> Column:
+        return F.when(base & when, _key(cells, VENUE, "venue_id", slot=slot.cast("int")))
+
+    targets = F.array_compact(
+        F.array(
+            F.when(linked, _key(cells, OWN, *keys, slot=F.lit(TOTAL))),
+            F.when(linked & base, _key(cells, OWN_AT_VENUE, *keys, "venue_id", slot=F.lit(TOTAL))),
+            at_venue(linked, F.lit(STRAY)),
+            at_venue(day_ok & hour_ok, dow * baseline.HOURS + hour),
+            at_venue(day_ok, dow + baseline.DAY_SLOT),
+            at_venue(hour_ok, hour + baseline.HOUR_SLOT),
+            at_venue(F.lit(True), F.lit(baseline.VENUE_SLOT)),
+        )
+    )
+    per_slot = cells.select(F.inline(targets).alias(*KEY, "slot"), *SUMS).groupBy(*KEY, "slot").agg(*_added(SUMS))
+    sites = venues.select(
+        _key(venues, VENUE, "venue_id").alias("key"), F.struct("venue_name", "latitude", "longitude").alias("site")
+    ).filter(F.col("key.k1").isNotNull())
+    entries = per_slot.select(*KEY, F.struct("slot", F.struct(*SUMS).alias("sums")).alias("entry")).unionByName(
+        sites.select("key.*", "site"), allowMissingColumns=True
+    )
+    return entries.groupBy(*KEY).agg(
+        F.map_from_entries(F.collect_list("entry")).alias("slots"), F.max("site").alias("site")
+    )
 
 
-def _with_event_traffic(located: DataFrame, meas: DataFrame, keys: list[str]) -> DataFrame:
-    """Add event-traffic sums per key to rows that carry the keys and a venue.
+def _with_traffic(
+    rows: DataFrame, venues: DataFrame, meas: DataFrame, keys: Sequence[str], dow: Column, hour: Column
+) -> DataFrame:
+    """Add venue columns, event traffic and the baseline slots to rows that have unique ``keys`` and a known venue.
 
     A row's event traffic is the measurements linked to it plus, by the view's join
     rule, baseline rows of its venue linked to some other event. The latter should
     not exist but are not prevented. They enter as venue totals less the row's own
     share, so no event is ever paired with single measurements.
+
+    Each row looks up three keys, all in one join, and its answers are put together
+    again: only the first of the three carries the row's columns.
     """
-    linked = meas.filter(F.col(keys[0]).isNotNull())
-    own = linked.groupBy(*keys).agg(
-        *_sums(), F.sum("distance_miles").alias("sum_distance"), F.count("distance_miles").alias("n_distance")
-    )
-    stray = linked.filter(F.col("is_baseline") == F.lit(True)).filter(F.col("venue_id").isNotNull())
-    stray_by_venue = stray.groupBy("venue_id").agg(*_sums("v_"))
-    stray_own = stray.groupBy(*keys, "venue_id").agg(*_sums("o_"))
-    joined = (
-        located.join(own, keys, "left")
-        .join(splittable(stray_by_venue, "venue_id"), "venue_id", "left")
-        .join(stray_own, [*keys, "venue_id"], "left")
+    columns = [c for c in rows.columns if c not in ("venue_name", "latitude", "longitude")]
+    asked = rows.select(
+        *keys,
+        F.struct(*columns).alias("row"),
+        dow.alias("_dow"),
+        hour.alias("_hour"),
+        F.explode(
+            F.array(
+                _key(rows, OWN, *keys), _key(rows, OWN_AT_VENUE, *keys, "venue_id"), _key(rows, VENUE, "venue_id")
+            )
+        ).alias("key"),
+    ).select(*keys, "key.*", F.when(F.col("key.kind") == OWN, F.col("row")).alias("row"), "_dow", "_hour")
+    found = asked.join(splittable(_lookups(traffic_cells(meas, keys), venues, keys), *KEY), KEY, "left")
+    kind = F.col("kind")
+    answers = {
+        "own": F.when(kind == OWN, F.try_element_at("slots", F.lit(TOTAL))),
+        "own_stray": F.when(kind == OWN_AT_VENUE, F.try_element_at("slots", F.lit(TOTAL))),
+        "stray": F.when(kind == VENUE, F.try_element_at("slots", F.lit(STRAY))),
+        **{
+            name: F.when(kind == VENUE, F.try_element_at("slots", slot))
+            for name, slot in baseline.slots(F.col("_dow"), F.col("_hour")).items()
+        },
+    }
+    together = (
+        found.select(*keys, "row", "site", *(c.alias(name) for name, c in answers.items()))
+        .groupBy(*keys)
+        .agg(*(F.max(c).alias(c) for c in ("row", "site", *answers)))
+        .filter("site IS NOT NULL")
     )
 
     def total(c: str) -> Column:
-        parts = [F.coalesce(F.col(p + c), F.lit(0)) for p in ("", "v_", "o_")]
+        parts = [F.coalesce(F.col(part)[c], F.lit(0)) for part in ("own", "stray", "own_stray")]
         return parts[0] + parts[1] - parts[2]
 
-    return joined.withColumns(
-        {
-            "event_measurements": total("n"),
-            "event_avg_delay": F.try_divide(total("sum_delay").cast("double"), total("n_delay")),
-            "event_max_delay": F.greatest("max_delay", "v_max_delay"),
-            "event_avg_speed": F.try_divide(total("sum_speed").cast("double"), total("n_speed")),
-            "event_avg_distance": F.try_divide(F.col("sum_distance").cast("double"), F.col("n_distance")),
-        }
-    )
-
-
-def _located(events: DataFrame, venues: DataFrame, meas: DataFrame) -> DataFrame:
-    """Events with venue columns and the venue's baseline profile: one join by venue."""
-    site = venues.select("venue_id", "venue_name", "latitude", "longitude").join(
-        baseline.baseline_profile(meas), "venue_id", "left"
+    return together.select(
+        "row.*",
+        "site.*",
+        *baseline.SLOTS,
+        total("n").alias("event_measurements"),
+        F.try_divide(total("sum_delay").cast("double"), total("n_delay")).alias("event_avg_delay"),
+        F.greatest(F.col("own")["max_delay"], F.col("stray")["max_delay"]).alias("event_max_delay"),
+        F.try_divide(total("sum_speed").cast("double"), total("n_speed")).alias("event_avg_speed"),
+        F.try_divide(F.col("own")["sum_distance"].cast("double"), F.col("own")["n_distance"]).alias("event_avg_distance"),
     )
-    own = [c for c in events.columns if c not in ("venue_name", "latitude", "longitude")]
-    return events.select(own).join(splittable(site, "venue_id"), "venue_id")
 
 
 def event_traffic_with_baseline(events: DataFrame, venues: DataFrame, meas: DataFrame) -> DataFrame:
@@ -105,8 +199,8 @@ def event_traffic_with_baseline(events: DataFrame, venues: DataFrame, meas: Data
     def n(slot: str) -> Column:
         return F.coalesce(F.col(slot)["n"], F.lit(0))
 
-    looked_up = (
-        baseline.with_slots(_located(timed, venues, meas), dow, hour)
+    return (
+        _with_traffic(timed, venues, meas, ["event_id"], dow, hour)
         .withColumns(
             {
                 "baseline_measurements": n("same_day") + n("same_hour") - n("exact"),
@@ -115,10 +209,6 @@ def event_traffic_with_baseline(events: DataFrame, venues: DataFrame, meas: Data
                 "best_baseline": baseline.best_tier(),
             }
         )
-        .drop("exact", "same_day", "same_hour", "whole_venue")
-    )
-    return (
-        _with_event_traffic(looked_up, meas, ["event_id"])
         .withColumn("impact_above_baseline", F.col("event_avg_delay") - F.col("baseline_avg_delay"))
         .select(*VIEW_COLUMNS, *details, "event_avg_distance", "best_baseline")
     )
@@ -269,17 +359,13 @@ def occurrence_impact(events: DataFrame, venues: DataFrame, meas: DataFrame) ->
     days = linking.occurrences(events).select(
         "event_id", "occurrence_date", "event_name", "start_sec", "category", "venue_id"
     )
-    looked_up = (
-        baseline.with_slots(_located(days, venues, meas), dow, hour)
-        .withColumns(
-            {
-                "baseline_measurements": F.coalesce("exact.n", F.lit(0)),
-                "baseline_delay": baseline.mean_delay(F.col("exact")),
-            }
-        )
-        .drop("exact", "same_day", "same_hour", "whole_venue")
+    looked_up = _with_traffic(days, venues, meas, ["event_id", "occurrence_date"], dow, hour).withColumns(
+        {
+            "baseline_measurements": F.coalesce("exact.n", F.lit(0)),
+            "baseline_delay": baseline.mean_delay(F.col("exact")),
+        }
     )
-    return _with_event_traffic(looked_up, meas, ["event_id", "occurrence_date"]).select(
+    return looked_up.select(
         "event_id",
         "occurrence_date",
         "event_name",

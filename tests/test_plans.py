@@ -5,8 +5,10 @@ from datetime import timedelta
 import pytest
 from frames import DAY, event, events, meas, probe, venues
 from pyspark.sql import functions as F
+from test_linking import hot_fixture
 
 from crowdlane.operators import aggregates, halves, impact, linking, ranking, upserts
+from crowdlane.plans import reports
 from crowdlane.sources import tables
 
 
@@ -65,6 +67,9 @@ def test_a_crowded_bin_of_measurements_is_split_and_nothing_is_lost(spark, sort_
 
 
 def test_a_crowded_venue_of_events_is_split(spark, sort_merge):
+    # rows that look up a venue are narrow, so the crowded venue shows beside small partitions only
+    spark.conf.set("spark.sql.shuffle.partitions", "96")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "100KB")
     evs = crowded(spark).selectExpr(
         "measurement_id AS event_id",
         "payload AS event_name",
@@ -107,6 +112,32 @@ def test_top_rows_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(upserts.dedup_events(keyed))
 
 
+def scans(df, path):
+    """How often a plan reads a folder, and how often all others."""
+    found = [line for line in plan(df).splitlines() if "FileScan" in line]
+    facts = sum(str(path) in line for line in found)
+    return facts, len(found) - facts
+
+
+def test_stored_facts_are_scanned_once_for_the_impact_views(spark, tmp_path):
+    evs, probes = hot_fixture(5)
+    meas(spark, [{**m, "event_id": m["measurement_id"] % 60} for m in probes]).write.parquet(str(tmp_path / "facts"))
+    events(spark, evs).write.parquet(str(tmp_path / "events"))
+    venues(spark).write.parquet(str(tmp_path / "venues"))
+    m, e, v = (spark.read.parquet(str(tmp_path / name)) for name in ("facts", "events", "venues"))
+    rows = impact.event_traffic_with_baseline(e, v, m)
+    for df in (
+        rows,
+        impact.event_impact_detail(rows),
+        impact.category_traffic_impact(rows),
+        impact.category_speed_impact(rows),
+        reports.dashboard_kpis(impact.event_impact_detail(rows)),
+        impact.speed_impact(rows),
+        impact.occurrence_impact(e, v, m.withColumn("occurrence_date", F.to_date("measurement_time"))),
+    ):
+        assert scans(df, tmp_path / "facts") == (1, 2)
+
+
 def test_only_needed_columns_are_read(spark, tmp_path):
     for name, ddl in tables.TABLES.items():
         spark.createDataFrame([], ddl).write.parquet(str(tmp_path / name))
