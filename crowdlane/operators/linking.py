@@ -39,12 +39,17 @@ def start_points(events: DataFrame) -> DataFrame:
 
 
 def window_pairs(
-    points: DataFrame, meas: DataFrame, meas_cols: Sequence[str], seconds: int = WINDOW_SECONDS
+    points: DataFrame,
+    meas: DataFrame,
+    meas_cols: Sequence[str],
+    seconds: int = WINDOW_SECONDS,
+    instant: Column | None = None,
 ) -> DataFrame:
     """Every (point, measurement) pair at one venue within ``seconds``, bounds included.
 
     A point is repeated for the three bins its window touches and a measurement
-    has one bin, so each pair appears once. Adds ``t_us``, the measurement instant.
+    has one bin, so each pair appears once. Adds ``t_us``, the measurement instant,
+    which is that of ``measurement_time`` unless ``instant`` gives microseconds.
     """
     reach = F.lit(seconds * MICROS)
     spread = points.withColumn(
@@ -55,8 +60,8 @@ def window_pairs(
             )
         ),
     )
-    t_us = clock.micros("measurement_time")
-    binned = meas.filter(F.col("venue_id").isNotNull() & F.col("measurement_time").isNotNull()).select(
+    t_us = clock.micros("measurement_time") if instant is None else instant
+    binned = meas.filter(F.col("venue_id").isNotNull() & t_us.isNotNull()).select(
         "venue_id", *meas_cols, t_us.alias("t_us"), clock.time_bin(t_us, seconds).alias("_bin")
     )
     return (

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "crowdlane", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,3 +40,14 @@ def shared_dir(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="crowdlane-")
     raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read again.
+
+    For rows that several parts of one plan need and that are dear to compute: the
+    table cuts the lineage, and lost executors lose nothing of it.
+    """
+    path = f"{shared_dir(df.sparkSession)}/crowdlane/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,5 +1,5 @@
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import duckdb
 from frames import DAY, event, events, meas, probe, venues
@@ -64,8 +64,7 @@ def test_plans_have_no_nested_loops(spark):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_halves_match_brute_force(spark):
-    evs, probes = hot_fixture(6)
+def check_halves(spark, evs, probes):
     by_event = {}
     for e, m in pairs(evs, probes):
         by_event.setdefault(e["event_id"], []).append(m)
@@ -86,6 +85,12 @@ def test_halves_match_brute_force(spark):
                 want = mean([m[field] for m in part])
                 have = r[f"{name}_{col}"]
                 assert have == want or abs(have - want) < 1e-9
+            delays = [m["delay_minutes"] for m in part if m["delay_minutes"] is not None]
+            assert r[f"{name}_max_delay"] == max(delays, default=None)
+
+
+def test_halves_match_brute_force(spark):
+    check_halves(spark, *hot_fixture(6))
 
 
 def test_odd_count_gives_the_extra_row_to_the_second_half_and_zero_speed_is_safe(spark):
@@ -120,3 +125,33 @@ def test_baseline_tiers(spark):
     evs = [event(i, venue_id=i) for i in range(1, 6)]
     got = {r["event_id"]: (r["baseline_tier"], r["baseline_delay"]) for r in baseline.baseline_match_tiers(events(spark, evs), meas(spark, probes)).collect()}
     assert got == {1: ("exact_match", 2), 2: ("same_hour", 3), 3: ("same_day", 4), 4: ("venue_average", 5), 5: ("none", None)}
+
+
+def test_halves_of_crowded_seconds_match_brute_force(spark, monkeypatch):
+    """All rows of a venue in one second, at several instants, and many starts whose cut falls into it."""
+    monkeypatch.setattr(halves, "BLOCK_BITS", 4)
+    r = random.Random(9)
+    at = datetime(2024, 1, 3, 18)
+    probes = [
+        probe(i, at=at + timedelta(microseconds=r.choice([0, 0, 0, 1, 500])), delay_minutes=r.choice([None, 1, 5, 9]), avg_speed_mph=r.choice([None, 10.0, 20.0]))
+        for i in range(600)
+    ]
+    probes += [probe(1000 + i, r.uniform(-119, 119), delay_minutes=i % 7) for i in range(90)]
+    # on the bounds of windows, and just beyond
+    probes += [probe(2000 + i, at=at + timedelta(hours=h, microseconds=u)) for i, (h, u) in enumerate([(-2, 0), (-2, -1), (2, 0), (2, 1)])]
+    evs = [event(i, sec=18 * 3600 + 97 * (i - 20)) for i in range(40)]
+    check_halves(spark, evs, probes)
+
+
+def test_one_interval_join_for_all_halves(spark):
+    evs, probes = hot_fixture(6)
+    e, m = events(spark, evs), meas(spark, probes)
+
+    def interval_joins(df):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        return sum("Join" in line and "_bin" in line for line in text.splitlines())
+
+    assert interval_joins(halves.halves_by_cells(linking.start_points(e), m)) == 1
+    analysed = halves.impact_before_during(e, venues(spark), m)
+    top = reports.top_increases(analysed).select("category")
+    assert interval_joins(reports.impact_breakdown(analysed).select("label").union(top)) == 0
