@@ -740,11 +740,11 @@ def _(d: Data) -> DataFrame:
 def _listing_pages(d: Data) -> DataFrame:
     """A detail page for every listing; the small rows are spread before they grow to pages."""
 
-    def item(name: str, value: Column) -> Column:
+    def item(name: str, *value: Column | str) -> Column:
         body = F.concat(
             F.lit(f'<li data-name="{name}"><span class="info-list-label">{name}</span>'),
             F.lit('<span class="info-list-value"> '),
-            value,
+            *(F.lit(v) if isinstance(v, str) else v for v in value),
             F.lit(" </span></li>\n"),
         )
         return F.coalesce(body, F.lit(""))
@@ -762,8 +762,11 @@ def _listing_pages(d: Data) -> DataFrame:
             F.lit("'>\n"),
             item("dates", F.col("dates_text")),
             item("time", F.col("time_text")),
-            item("location", F.concat(F.lit("Hall "), number)),
-            item("host", F.lit("The Host &lt;Inc&gt;")),
+            # a list inside the list, an element inside a value, a comment, attributes without quotes
+            F.lit("<li class=more><ul><li>Parking</li><li data-name=parking><span class=info-list-value>Yes</span></li></ul></li>\n"),
+            item("location", "Hall <span>", number, "</span> West"),
+            F.lit('<!-- <li data-name="location"><span class="info-list-value">Old Hall</span></li> -->\n'),
+            F.lit("<li data-name=host><br><span class=info-list-value>The Caf&eacute; &lt;Inc&gt;&hellip;</span></li>\n"),
             item("price", F.col("price_text")),
             item("phone", F.col("phone_text")),
             item("email", F.col("email_text")),

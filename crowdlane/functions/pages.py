@@ -1,138 +1,181 @@
-"""Raw HTML of a listing page to event columns, with regular expressions on the JVM."""
+"""Raw HTML of a listing page to event columns.
+
+Nesting, comments, unquoted attributes and some two thousand named references are
+beyond patterns, so pages are read by Python's tolerant HTML reader in Arrow batches, one pass
+over each page; only the texts of interest come back. What they mean is worked out by
+column functions on the JVM.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crowdlane.functions import text
 from crowdlane.functions.clock import col
 from crowdlane.sources.listings import truncate_fields
 
-# The named character references expected in listing text. The
-# ampersand comes last so that an escaped reference is not decoded twice.
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&ndash;", "–"), ("&mdash;", "—"), ("&rsquo;", "’"), ("&lsquo;", "‘"),
-    ("&amp;", "&"),
-]
-
-
-
-def _has_class(name: str) -> str:
-    """Pattern of a class attribute with this token."""
-    return rf"[^>]*\bclass\s*=\s*[\"'][^\"']*(?<![\w-]){name}(?![\w-])"
-
-
-# Text between two tags is matched by a lazy dot, which Java runs without
-# recursion, so the length of a page does not matter.
-H1 = r"(?is)<h1\b[^>]*>(.*?)</h1>"
-DETAIL_LIST = rf"(?is)<ul\b{_has_class('detail-info')}.*?</ul>"
-DETAIL_TAG = r"(?is)^<ul\b(?:[^>\"']+|\"[^\"]*\"|'[^']*')*>"
-LIST_ITEM = r"(?is)<li\b.*?</li>"
-VALUE_SPAN = rf"(?is)<span\b{_has_class('info-list-value')}[^>]*>.*?</span>"
-WEBSITE_ITEM = rf"(?is)^<li\b{_has_class('website')}"
-LINK = r"(?is)<a\b([^>]*)>(.*?)</a>"
-
-
-def unescape(c: Column) -> Column:
-    """Decode numeric and the common named character references."""
-
-    def numbered(s: Column, prefix: str, digits: str, base: int) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(s, F.lit(f"&#{prefix}0*({digits});"), F.lit(1)))
-        # characters only: no surrogates, nothing beyond the last plane; the ampersand comes last
-        point = lambda x: F.conv(x, base, 10).cast("bigint")
-        codes = F.filter(
-            found, lambda x: (point(x) <= 0x10FFFF) & ~point(x).between(0xD800, 0xDFFF) & (point(x) != 38)
-        )
-
-        def put(acc: Column, code: Column) -> Column:
-            bytes_ = F.unhex(F.lpad(F.conv(code, base, 16), 8, "0"))
-            char = F.regexp_replace(F.decode(bytes_, "UTF-32"), r"([\\$])", r"\\$1")
-            return F.regexp_replace(acc, F.concat(F.lit(f"&#{prefix}0*"), code, F.lit(";")), char)
-
-        return F.aggregate(codes, s, put)
-
-    def decoded(s: Column) -> Column:
-        # what one reference decodes to is never read as part of another: only the last step gives ampersands
-        out = s
-        for name, char in ENTITIES:
-            if char != "&":
-                out = F.replace(out, F.lit(name), F.lit(char))
-        out = numbered(numbered(out, "", r"\d{1,7}", 10), "[xX]", "[0-9a-fA-F]{1,6}", 16)
-        out = F.regexp_replace(out, "&(?:amp|#0*38|#[xX]0*26);", "&")
-        return F.when(s.contains("&"), out).otherwise(s)
-
-    return text.let(c, decoded)
-
-
-def inner_text(html: Column) -> Column:
-    """Text of an HTML fragment: tags dropped, each text run trimmed, runs joined."""
-    runs = F.transform(F.split(html, r"<[^>]*>"), lambda r: text.strip(unescape(r)))
-    return F.array_join(runs, "")
-
-
-def attribute(tag: Column, name: str) -> Column:
-    # one of the two groups is empty
-    quoted = rf"(?is)\b{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
-    return unescape(F.concat(F.regexp_extract(tag, quoted, 1), F.regexp_extract(tag, quoted, 2)))
+#: fields of a detail list that become columns
+FIELDS = ["dates", "time", "location", "address", "host", "price", "phone", "email"]
+
+
+def _reader(names: list[str]) -> Callable[[pa.Array], pa.Array]:
+    """Function from pages to structs of title, listed, vars, ``names``, ticket_url and website_url.
+
+    All is defined in here, so that it travels to the executors by value.
+    """
+    from html.parser import HTMLParser
+
+    # fixed values: elements that have no content and no end tag
+    void = set("area base br col embed hr img input link meta param source track wbr".split())
+
+    class Page(HTMLParser):
+        """Open elements as a stack; each open element may gather the texts inside it.
+
+        An end tag closes the nearest open element of its name and all inside it, and is ignored where none is
+        open. What is still open at the end of the page closes there.
+        """
+
+        def __init__(self, html: str) -> None:
+            super().__init__()
+            self.open: list[str] = []
+            self.counts: dict[str, int] = {}  # open elements of a name
+            self.gathering: list[tuple[int, list[str]]] = []  # depth of an element, and its texts
+            self.title: list[str] | None = None
+            self.list_depth = 0  # of the detail list, while it is open
+            self.vars: str | None = None
+            self.items: list[tuple[str, list]] = []  # name and texts, or none yet
+            self.links: list[list] = []  # href and texts, or none yet
+            self.inside: list[tuple[int, list]] = []  # depth of an open item, and what it waits for
+            self.feed(html)
+            self.close()
+
+        def gather(self) -> list[str]:
+            texts: list[str] = []
+            self.gathering.append((len(self.open), texts))
+            return texts
+
+        def handle_starttag(self, tag: str, attrs: list) -> None:
+            self.open.append(tag)
+            self.counts[tag] = self.counts.get(tag, 0) + 1
+            depth, own = len(self.open), {k: v or "" for k, v in attrs}
+            classes = own.get("class", "").split()
+            if tag == "h1" and self.title is None:
+                self.title = self.gather()
+            elif tag == "ul" and self.vars is None and "detail-info" in classes:
+                self.vars, self.list_depth = own.get("data-gtm-vars", ""), depth
+            elif self.list_depth and tag == "li":
+                if own.get("data-name"):
+                    self.items.append((own["data-name"], wanted := []))
+                    self.inside.append((depth, ["span", wanted]))
+                if "website" in classes:
+                    self.links.append(wanted := [])
+                    self.inside.append((depth, ["a", wanted]))
+            elif (tag == "span" and "info-list-value" in classes) or tag == "a":
+                waiting = [w for _, w in self.inside if w[0] == tag and not w[1]]
+                if waiting:
+                    texts = self.gather()
+                    for w in waiting:
+                        w[1] += [texts] if tag == "span" else [own.get("href", ""), texts]
+            if tag in void:
+                self.handle_endtag(tag)
+
+        def handle_startendtag(self, tag: str, attrs: list) -> None:
+            self.handle_starttag(tag, attrs)
+            if tag not in void:
+                self.handle_endtag(tag)
+
+        def handle_endtag(self, tag: str) -> None:
+            if not self.counts.get(tag):
+                return
+            while True:
+                last = self.open.pop()
+                self.counts[last] -= 1
+                if last == tag:
+                    break
+            depth = len(self.open)
+            while self.gathering and self.gathering[-1][0] > depth:
+                self.gathering.pop()
+            while self.inside and self.inside[-1][0] > depth:
+                self.inside.pop()
+            if self.list_depth > depth:
+                self.list_depth, self.inside = 0, []
+
+        def handle_data(self, data: str) -> None:
+            # scripts and styles are no text
+            if self.gathering and not (self.open and self.open[-1] in ("script", "style")):
+                piece = data.strip()
+                for _, texts in self.gathering:
+                    texts.append(piece)
+
+        def result(self) -> dict:
+            out = {"title": None if self.title is None else "".join(self.title), "listed": self.vars is not None, "vars": self.vars}
+            # of several items with one name, or several links of one kind, the last counts
+            out |= {name: "".join(wanted[0]) for name, wanted in self.items if wanted}
+            for href, texts in filter(None, self.links):
+                said = "".join(texts).lower()
+                # a text naming tickets is a ticket link even if it also says "website"
+                if "ticket" in said:
+                    out["ticket_url"] = href
+                elif "website" in said:
+                    out["website_url"] = href
+            return out
+
+    kinds = [("title", pa.string()), ("listed", pa.bool_()), ("vars", pa.string())]
+    kind = pa.struct(kinds + [(n, pa.string()) for n in [*names, "ticket_url", "website_url"]])
+    keys = [f.name for f in kind]
+
+    def plain(value: object) -> object:
+        # what is no character, such as half a surrogate pair, cannot be stored
+        return value.encode("utf-8", "replace").decode() if isinstance(value, str) else value
+
+    def read(pages: pa.Array) -> pa.Array:
+        rows = []
+        for page in pages:
+            found = {} if page.as_py() is None else Page(page.as_py()).result()
+            rows.append({k: plain(found.get(k)) for k in keys})
+        return pa.array(rows, kind)
+
+    return read
+
+
+def _columns(mark: str = " ") -> str:
+    texts = "".join(f", {name}{mark}string" for name in [*FIELDS, "ticket_url", "website_url"])
+    return f"title{mark}string, listed{mark}boolean, vars{mark}string{texts}"
+
+
+def read_page(html: Column | str) -> Column:
+    """Struct of the title, whether there is a detail list, its tracking attribute, FIELDS and links; NULL where absent.
+
+    Texts are those of all elements inside, each run of text trimmed, joined without a separator.
+    """
+    return F.arrow_udf(_reader(FIELDS), f"struct<{_columns(': ')}>")(col(html))
 
 
 def page_title(html: Column | str) -> Column:
     """Text of the first top heading; NULL when the page has none."""
-    h = col(html)
-    return F.when(h.rlike(H1), inner_text(F.regexp_extract(h, H1, 1)))
-
-
-def _last(array: Column) -> Column:
-    return F.try_element_at(array, F.lit(-1))
+    return read_page(html)["title"]
 
 
 def page_fields(pages: DataFrame, year: int) -> DataFrame:
     """One event row per page (page_id, url, html); pages without a detail list are dropped."""
-    listed = pages.withColumn("_list", F.regexp_extract("html", DETAIL_LIST, 0)).filter(F.col("_list") != "")
-    split = listed.select(
-        "page_id",
-        "url",
-        page_title("html").alias("event_name"),
-        text.extract_category(attribute(F.regexp_extract("_list", DETAIL_TAG, 0), "data-gtm-vars")).alias("category"),
-        F.regexp_extract_all("_list", F.lit(LIST_ITEM), F.lit(0)).alias("_li"),
-    )
-    named = F.transform(
-        "_li",
-        lambda li: F.struct(
-            F.regexp_extract(li, r"(?is)^<li\b[^>]*\bdata-name\s*=\s*[\"']([^\"']*)", 1).alias("name"),
-            F.regexp_extract(li, VALUE_SPAN, 0).alias("span"),
-        ),
-    )
-    links = F.transform(
-        F.filter("_li", lambda li: li.rlike(WEBSITE_ITEM) & li.rlike(LINK)),
-        lambda li: F.struct(
-            attribute(F.regexp_extract(li, LINK, 1), "href").alias("href"),
-            F.lower(inner_text(F.regexp_extract(li, LINK, 2))).alias("link_text"),
-        ),
-    )
-    parts = split.select("page_id", "url", "event_name", "category", named.alias("_named"), links.alias("_links"))
-
-    # of several items with one name, or several links of one kind, the last counts
-    def field(name: str) -> Column:
-        span = _last(F.filter("_named", lambda i: (i["name"] == name) & (i["span"] != "")))["span"]
-        return text.let(span, lambda v: F.when(v.isNotNull(), inner_text(v)))
-
-    # a text naming tickets is a ticket link even if it also says "website"
-    def is_ticket(a: Column) -> Column:
-        return a["link_text"].contains("ticket")
-
-    fields = parts.withColumns(
-        {
-            **{
-                f"_{n}": field(n)
-                for n in ("dates", "time", "location", "address", "host", "price", "phone", "email")
-            },
-            "ticket_url": _last(F.filter("_links", is_ticket))["href"],
-            "website_url": _last(F.filter("_links", lambda a: ~is_ticket(a) & a["link_text"].contains("website")))[
-                "href"
-            ],
-        }
+    rows, read = pages.select("page_id", "url", "html"), _reader(FIELDS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = read(batch.column(2))
+            columns = [*batch.columns[:2], *found.flatten()]
+            kept = pa.RecordBatch.from_arrays(columns, names=["page_id", "url", *(f.name for f in found.type)])
+            yield kept.filter(found.field("listed"))
+
+    # a table function reads each page once, however many of its fields are used and filtered by
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:2])
+    fields = (
+        rows.mapInArrow(run, f"{types}, {_columns()}")
+        .withColumnsRenamed({"title": "event_name", **{name: f"_{name}" for name in FIELDS}})
+        .withColumn("category", text.extract_category("vars"))
     )
     out = fields.select(
         "page_id",

@@ -161,6 +161,8 @@ def _with_traffic(
     }
     together = (
         found.select(*keys, "row", "site", *(c.alias(name) for name, c in answers.items()))
+        # the answers of a row come from three places: adding up before the shuffle would only sort for nothing
+        .repartition(*keys)
         .groupBy(*keys)
         .agg(*(F.max(c).alias(c) for c in ("row", "site", *answers)))
         .filter("site IS NOT NULL")

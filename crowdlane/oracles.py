@@ -785,9 +785,9 @@ ORACLES: dict[str, str] = {
     + UNESCAPE.replace("{x}", "regexp_extract(html, '<h1[^>]*>((?s:.*?))</h1>', 1)")
     + ") END AS title FROM pages",
     "page_fields": _sql(
-        f"""SELECT listing_id AS page_id, concat('Show & TellNo. ', listing_id) AS event_name, concat('Hall ', listing_id) AS venue_name,
+        f"""SELECT listing_id AS page_id, concat('Show & TellNo. ', listing_id) AS event_name, concat('Hall', listing_id, 'West') AS venue_name,
                    '' AS address, d.start_date AS event_start_date, d.end_date AS event_end_date, t.start_sec, t.end_sec, d.is_multi_day,
-                   category, 'The Host <Inc>' AS sponsor, c.cost_min, c.cost_max, c.cost_description, phone, email,
+                   category, 'The Café <Inc>…' AS sponsor, c.cost_min, c.cost_max, c.cost_description, phone, email,
                    concat('https://t.example.org/', listing_id) AS ticket_url, concat('https://w.example.org/?a=1&b=', listing_id) AS website_url,
                    concat('https://listings.example.org/e/', listing_id) AS source_url
             FROM ({DATES}) d JOIN ({TIMES}) t USING (listing_id) JOIN ({COSTS}) c USING (listing_id)

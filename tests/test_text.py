@@ -126,16 +126,63 @@ def test_whole_long_page_is_read(spark):
 
 
 def test_references_are_decoded_once(spark):
-    from crowdlane.functions.pages import unescape
-
     cases = {
         "&#38;lt; &amp;lt; &amp;#60;": "&lt; &lt; &#60;",
-        "&#x10FFFF;&#1114111;": "\U0010ffff\U0010ffff",
-        "&#x110000; &#xD800;": "&#x110000; &#xD800;",
+        "&#x1F600;&#128512;": "\U0001f600\U0001f600",
+        "&#x110000; &#xD800;": "\ufffd \ufffd",
         "&lt;&#62;&#x41;": "<>A",
+        "&eacute;&hellip;&ldquo;&CounterClockwiseContourIntegral;": "é…“∳",
+        "&unknown; & co": "&unknown; & co",
     }
-    df = spark.createDataFrame([(c,) for c in cases], "c string")
-    assert {r[0]: r[1] for r in df.select("c", unescape(df.c)).collect()} == cases
+    df = spark.createDataFrame([(c, f"<h1>{c}</h1>") for c in cases], "c string, html string")
+    assert {r[0]: r[1] for r in df.select("c", pages.page_title("html")).collect()} == cases
+
+
+@pytest.mark.parametrize(
+    "items, expected",
+    [
+        # an element of the same name inside a value
+        ('<li data-name="location"><span class="info-list-value">Hall <span>A</span> West</span></li>', {"venue_name": "HallAWest"}),
+        # a list inside the list does not end it
+        ('<li><ul><li>x</li></ul></li><li data-name="location"><span class="info-list-value">L</span></li>', {"venue_name": "L"}),
+        # attributes without quotes, void and self-closed elements
+        ("<li data-name=host/><br/><img src=x><li data-name=host><span class=info-list-value>H<br>I</span></li>", {"sponsor": "HI"}),
+        # comments, scripts and what stands behind the list are no items
+        (
+            '<li data-name="location"><span class="info-list-value">Live</span></li>'
+            '<!-- <li data-name="location"><span class="info-list-value">Old</span></li> -->'
+            '<script>"<li data-name=location><span class=info-list-value>S</span></li>"</script></ul>'
+            '<li data-name="location"><span class="info-list-value">After</span></li>',
+            {"venue_name": "Live"},
+        ),
+        # an item takes the first value inside it, also that of an item it holds
+        (
+            '<li data-name="location">In <ul><li data-name="host"><span class="info-list-value">V</span></li></ul></li>',
+            {"venue_name": "V", "sponsor": "V"},
+        ),
+        # items without end tags hold those that follow; stray end tags do nothing
+        ('<li data-name="location"></b><span class="info-list-value">A</em>B</span><li class=website><a href=u>Website', {"venue_name": "AB", "website_url": "u"}),
+        # the second span and link of an item do not count, and a link may lack its target
+        (
+            '<li data-name="host"><span class="info-list-value">1</span><span class="info-list-value">2</span></li>'
+            '<li class="website"><a>Tickets</a><a href="no">Website</a></li>',
+            {"sponsor": "1", "ticket_url": "", "website_url": None},
+        ),
+    ],
+)
+def test_pages_are_read_by_their_nesting(spark, items, expected):
+    html = f"<p><h1>T</h1><ul class='a detail-info'>{items}</ul>"
+    df = spark.createDataFrame([(1, "u", html)], "page_id INT, url STRING, html STRING")
+    got = pages.page_fields(df, 2025).first().asDict()
+    assert {k: got[k] for k in expected} == expected
+
+
+def test_odd_pages(spark):
+    rows = [(1, ""), (2, "<"), (3, "<ul class=detail-info>"), (4, "<ul class='detail-info'/><h1>x"), (5, "<![CDATA[ <!doctype <!-- <ul class=detail-info>")]
+    df = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id INT, url STRING, html STRING")
+    got = {r["page_id"]: r["event_name"] for r in pages.page_fields(df, 2025).collect()}
+    assert got == {3: None, 4: "x"}
+    assert pages.page_fields(df.limit(0), 2025).collect() == []
 
 
 def test_calls_of_any_provider_count(spark):
