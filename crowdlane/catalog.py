@@ -19,6 +19,7 @@ from crowdlane.plans import collection, reports
 from crowdlane.session import shared_dir
 from crowdlane.sources import listings, runlog, standins, tables
 from crowdlane.sources.standins import AS_OF, AS_OF_YEAR
+from crowdlane.sources.versions import Versions
 from crowdlane.streaming import measurements as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1024,9 +1025,9 @@ def _(d: Data) -> DataFrame:
 @query("stream_hourly_activity")
 def _(d: Data) -> DataFrame:
     path = d.scratch("stream-hourly")
-    streams.stream_hourly_activity(_probe_stream(d), f"{path}/table", f"{path}/checkpoint").awaitTermination()
-    # the two approximate counts are left out of the comparison
-    return d.spark.read.parquet(f"{path}/table").drop("venues_measured", "events_measured")
+    rows = _probe_stream(d)
+    streams.stream_hourly_activity(rows, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    return streams.read_hourly_activity(d.spark, f"{path}/table", streams.activity_cells(rows).schema)
 
 
 @query("stream_link_events")
@@ -1047,4 +1048,4 @@ def _(d: Data) -> DataFrame:
     streams.stream_upsert_events(
         _batch(live), _event_table(d), f"{path}/events", f"{path}/checkpoint", AS_OF
     ).awaitTermination()
-    return d.spark.read.parquet(streams.snapshot_path(f"{path}/events", 1)).select(LOADED)
+    return Versions(d.spark, f"{path}/events", _event_table(d).schema).read().select(LOADED)

@@ -115,22 +115,21 @@ def usage_7day_pivot(meas: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     )
 
 
-def hourly_activity(meas: DataFrame) -> DataFrame:
-    """Collection activity per hour and source.
-
-    Both distinct counts are exact and come from a first grouping by (hour, source,
-    venue, event): a crowded hour is spread over its venues and events before it
-    becomes one row.
-    """
-    fine = meas.groupBy(clock.start_of_hour("measurement_time").alias("collection_hour"), "data_source", "venue_id", "event_id").agg(
+def activity_sums() -> list[Column]:
+    """Sums of measurements that later sums can be made of."""
+    return [
         F.count("*").alias("n"),
         _count_if(_is("is_baseline", True)).alias("n_baseline"),
         F.sum("delay_minutes").alias("sum_delay"),
         F.count("delay_minutes").alias("n_delay"),
         F.min("measurement_time").alias("first_time"),
         F.max("measurement_time").alias("last_time"),
-    )
-    return fine.groupBy("collection_hour", "data_source").agg(
+    ]
+
+
+def activity_by_hour(cells: DataFrame) -> DataFrame:
+    """Activity per hour and source from ``cells`` per (collection_hour, data_source, venue_id, event_id)."""
+    return cells.groupBy("collection_hour", "data_source").agg(
         F.sum("n").alias("measurements"),
         F.sum("n_baseline").alias("baseline_count"),
         F.sum(F.when(F.col("event_id").isNotNull(), F.col("n")).otherwise(0)).alias("event_count"),
@@ -142,6 +141,17 @@ def hourly_activity(meas: DataFrame) -> DataFrame:
     )
 
 
+def hourly_activity(meas: DataFrame) -> DataFrame:
+    """Collection activity per hour and source.
+
+    Both distinct counts are exact and come from a first grouping by (hour, source,
+    venue, event): a crowded hour is spread over its venues and events before it
+    becomes one row.
+    """
+    hour = clock.start_of_hour("measurement_time").alias("collection_hour")
+    return activity_by_hour(meas.groupBy(hour, "data_source", "venue_id", "event_id").agg(*activity_sums()))
+
+
 def recent_collection_activity(meas: DataFrame, as_of: str, hours: int = 24) -> DataFrame:
     since = clock.moment(as_of) - F.make_interval(hours=F.lit(hours))
     return hourly_activity(clock.measured_since(meas, since, after=True)).orderBy(

@@ -1,7 +1,6 @@
 """Deduplication and upserts of events and venues.
 
-A table snapshot plus a batch gives the next snapshot; where the table format has
-MERGE, ``merge_sql`` gives the statement instead.
+A table snapshot plus a batch gives the next snapshot.
 """
 
 from __future__ import annotations
@@ -36,8 +35,8 @@ def last_of_batch(batch: DataFrame, key: Sequence[str], order: str = "input_seq"
     return batch.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1").drop("_rank")
 
 
-def _whole_key(key: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+#: what became of a row of the table after a load
+KEPT, UPDATED, NEW = "kept", "updated", "new"
 
 
 def upsert(
@@ -48,43 +47,46 @@ def upsert(
     keep: Sequence[str],
     as_of: str,
     order: str = "input_seq",
+    max_id: int | None = None,
+    state: str | None = None,
 ) -> DataFrame:
     """The table after inserting ``batch`` with update on key conflict.
 
     Matched rows take every batch column except ``keep`` and the key, and a new
     ``updated_at``. A key with a NULL part conflicts with nothing, so such rows are
-    plain inserts and stay out of the join. A new row's id is the largest old id
-    plus its place in the batch (``order``, from 1): unique, repeatable, with gaps
+    plain inserts; in the one full join they match nothing. A new row's id is the largest old id
+    (``max_id`` where it is known) plus its place in the batch (``order``, from 1): unique, repeatable, with gaps
     where a row was an update, as a sequence leaves them. ``batch`` has unique keys.
+    ``state`` names a column that tells whether the row was kept, updated or is new.
     """
     now = clock.moment(as_of)
-    new_id = F.coalesce(target.agg(F.max(id_col)).scalar(), F.lit(0)) + F.col(order)
+    last_id = F.coalesce(target.agg(F.max(id_col)).scalar(), F.lit(0)) if max_id is None else F.lit(max_id)
     incoming = [c for c in batch.columns if c in target.columns and c not in keep and c != "updated_at"]
-
-    def as_insert(rows: DataFrame) -> DataFrame:
-        out = {id_col: new_id.cast(target.schema[id_col].dataType)}
-        for c in ("created_at", "updated_at"):
-            if c in target.columns:
-                out[c] = now
-        if "is_multi_day" in batch.columns:
-            out["is_multi_day"] = F.coalesce("is_multi_day", F.lit(False))
-        columns = [c for c in target.columns if c in incoming or c in out]
-        return rows.withColumns(out).select(columns)
-
-    old_whole, old_partial = target.filter(_whole_key(key)), target.filter(~_whole_key(key))
-    new_whole, new_partial = batch.filter(_whole_key(key)), batch.filter(~_whole_key(key))
-    values = [c for c in incoming if c not in key]
-    marked = new_whole.select(*key, F.struct(*values).alias("_new"))
-    matched = F.col("_new").isNotNull()
-    update = {c: F.when(matched, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in values}
-    if "updated_at" in target.columns:
-        update["updated_at"] = F.when(matched, now).otherwise(F.col("updated_at"))
-    kept = old_whole.join(marked, list(key), "left").withColumns(update).select(target.columns)
-    fresh = as_insert(new_whole.join(old_whole.select(*key), list(key), "left_anti"))
-    return reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [kept, old_partial, fresh, as_insert(new_partial)],
-    ).select(target.columns)
+    old = target.select(*(F.col(c).alias(f"_k_{c}") for c in key), F.struct(*target.columns).alias("_old"))
+    new = batch.select(*(F.col(c).alias(f"_n_{c}") for c in key), F.col(order).alias("_place"), F.struct(*incoming).alias("_new"))
+    same = reduce(lambda x, y: x & y, [F.col(f"_k_{c}") == F.col(f"_n_{c}") for c in key])
+    both = old.join(new, same, "full")
+    is_new, is_old = F.col("_old").isNull(), F.col("_new").isNull()
+
+    def value(c: str) -> Column:
+        held, given = F.col(f"_old.{c}"), F.col(f"_new.{c}") if c in incoming else F.lit(None)
+        first = given
+        if c == id_col:
+            first = (last_id + F.col("_place")).cast(target.schema[c].dataType)
+        elif c in ("created_at", "updated_at"):
+            first = now
+        elif c == "is_multi_day" and c in incoming:
+            first = F.coalesce(given, F.lit(False))
+        if c == "updated_at":
+            held = F.when(is_old, held).otherwise(now)
+        elif c in incoming and c not in key:
+            held = F.when(is_old, held).otherwise(given)
+        return F.when(is_new, first).otherwise(held).alias(c)
+
+    out = [value(c) for c in target.columns]
+    if state:
+        out.append(F.when(is_new, NEW).when(is_old, KEPT).otherwise(UPDATED).alias(state))
+    return both.select(out)
 
 
 def upsert_events(target: DataFrame, batch: DataFrame, as_of: str) -> DataFrame:
@@ -100,31 +102,21 @@ def upsert_venues(target: DataFrame, batch: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def load_stats(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """One row: batch rows loaded, new, updated, and the table's size afterwards."""
-    unique = dedup_events(batch)
-    whole = unique.filter(_whole_key(EVENT_KEY))
-    updated = whole.join(target.select(*EVENT_KEY).filter(_whole_key(EVENT_KEY)), EVENT_KEY, "left_semi")
-    before = target.agg(F.count("*")).scalar()
-    changed = updated.agg(F.count("*")).scalar()
-    return (
-        unique.agg(F.count("*").alias("events_loaded"))
-        .withColumn("updated_events", changed)
-        .withColumn("new_events", F.col("events_loaded") - F.col("updated_events"))
-        .withColumn("total_in_db", before + F.col("new_events"))
-    )
+def load_counts(state: str = "state") -> list[Column]:
+    """Rows loaded, new, updated and in the table, from the states of :func:`upsert`."""
+    count = lambda *states: F.count(F.when(F.col(state).isin(*states), 1))
+    return [
+        count(NEW, UPDATED).alias("events_loaded"),
+        count(UPDATED).alias("updated_events"),
+        count(NEW).alias("new_events"),
+        F.count("*").alias("total_in_db"),
+    ]
 
 
-def merge_sql(target: str, source: str, key: Sequence[str], values: Sequence[str]) -> str:
-    """MERGE statement for table formats that have it; ``source`` has unique keys."""
-    on = " AND ".join(f"t.{k} = s.{k}" for k in key)
-    sets = ", ".join(f"t.{c} = s.{c}" for c in values)
-    cols = [*key, *values]
-    return (
-        f"MERGE INTO {target} t USING {source} s ON {on} "
-        f"WHEN MATCHED THEN UPDATE SET {sets} "
-        f"WHEN NOT MATCHED THEN INSERT ({', '.join(cols)}) VALUES ({', '.join('s.' + c for c in cols)})"
-    )
+def load_stats(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """One row: batch rows loaded, new, updated, and the table's size afterwards, from the rows of the load itself."""
+    after = upsert(target, dedup_events(batch), EVENT_KEY, "event_id", EVENT_KEEP, "1970-01-01", max_id=0, state="state")
+    return after.agg(*load_counts())
 
 
 def link_events_to_venues(events: DataFrame, venues: DataFrame) -> DataFrame:

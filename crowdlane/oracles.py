@@ -935,9 +935,11 @@ ORACLES: dict[str, str] = {
         "distance_miles",
     ),
     "stream_hourly_activity": _sql(
-        "SELECT * FROM ("
-        + HOURLY.format(ev="CASE WHEN false THEN 1 END", distinct="", table="meas")
-        + ") WHERE collection_hour + INTERVAL 1 HOUR <= (SELECT max(measurement_time) - INTERVAL 2 HOUR FROM meas)",
+        HOURLY.format(
+            ev="CASE WHEN false THEN 1 END",
+            distinct="count(DISTINCT venue_id) AS venues_measured, 0::bigint AS events_measured,",
+            table="meas",
+        ),
         "avg_delay",
     ),
 }

@@ -6,12 +6,14 @@ session's shared folder; each restarts where it stopped after a lost executor or
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from crowdlane.functions import payloads
-from crowdlane.operators import linking, upserts
+from crowdlane.operators import aggregates, linking, upserts
 from crowdlane.sources.tables import conform, stamp_measurements
+from crowdlane.sources.versions import Versions
 
 
 def parse_probes(raw: DataFrame) -> DataFrame:
@@ -60,45 +62,66 @@ def stream_measurements(raw: DataFrame, out: str, checkpoint: str) -> StreamingQ
     )
 
 
-def hourly_activity(rows: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """Activity per hour and source; rows later than ``lateness`` are dropped.
+ACTIVITY_KEY = ["collection_hour", "data_source", "venue_id", "event_id"]
 
-    Watermarks need a zoned time, so the session zone should be UTC.
 
-    Distinct venues and events are approximate here: exact ones would keep every
-    value in state.
+def activity_cells(rows: DataFrame, lateness: str = "2 hours") -> DataFrame:
+    """Sums per hour, source, venue and event of a stream; rows later than ``lateness`` are dropped.
+
+    State holds one row of sums per venue and event of the hours that are open, never the
+    measurements. Watermarks need a zoned time, so the session zone should be UTC.
     """
     timed = rows.withColumn("_time", F.col("measurement_time").cast("timestamp")).withWatermark("_time", lateness)
     return (
-        timed.groupBy(F.window("_time", "1 hour").alias("_hour"), "data_source")
-        .agg(
-            F.count("*").alias("measurements"),
-            F.count(F.when(F.col("is_baseline") == F.lit(True), 1)).alias("baseline_count"),
-            F.count("event_id").alias("event_count"),
-            F.approx_count_distinct("venue_id").alias("venues_measured"),
-            F.approx_count_distinct("event_id").alias("events_measured"),
-            F.avg("delay_minutes").alias("avg_delay"),
-            F.min("measurement_time").alias("first_measurement"),
-            F.max("measurement_time").alias("last_measurement"),
-        )
+        timed.groupBy(F.window("_time", "1 hour").alias("_hour"), "data_source", "venue_id", "event_id")
+        .agg(*aggregates.activity_sums())
         .select(F.col("_hour.start").cast("timestamp_ntz").alias("collection_hour"), "*")
         .drop("_hour")
     )
 
 
 def stream_hourly_activity(rows: DataFrame, out: str, checkpoint: str, lateness: str = "2 hours") -> StreamingQuery:
-    """Write each hour once, when no more of its rows are accepted."""
+    """Keep the activity of all hours up to date, those still open included; :func:`read_hourly_activity` gives it.
+
+    Each batch brings the new totals of the cells it changed. They replace the old ones in the
+    days they belong to, and other days are not touched. A batch run again writes the same.
+    """
+    spark = rows.sparkSession
+    cells = activity_cells(rows, lateness)
+    table = Versions(spark, out, cells.schema)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        day = F.date_format("collection_hour", "yyyyMMdd")
+        changed = batch.withColumn("bucket", day).persist()
+        # days in one batch: few, as an hour closes when the watermark passes it
+        days = [r[0] for r in changed.select("bucket").distinct().collect()]
+        known = table.read(batch_id - 1, days).withColumn("bucket", day)
+        sums = [c for c in table.schema.names if c not in ACTIVITY_KEY]
+        both = known.withColumn("_new", F.lit(False)).unionByName(changed.withColumn("_new", F.lit(True)))
+        rows = both.groupBy("bucket", *ACTIVITY_KEY).agg(F.max_by(F.struct(*sums), "_new").alias("_sums"))
+        if days:
+            table.write(rows.select("bucket", *ACTIVITY_KEY, "_sums.*"), batch_id)
+        table.commit(batch_id, days=len(days))
+        table.retire(batch_id, days)
+        changed.unpersist()
+
     return (
-        hourly_activity(rows, lateness)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out)
+        cells.writeStream.outputMode("update")
+        .foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def read_hourly_activity(spark: SparkSession, out: str, cells: StructType) -> DataFrame:
+    """Activity per hour and source as of the last complete batch, with exact distinct venues and events.
+
+    ``cells`` is the schema of :func:`activity_cells`.
+    """
+    return aggregates.activity_by_hour(Versions(spark, out, cells).read())
+
+
 def stream_link_events(rows: DataFrame, events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Link arriving rows to their nearest event, micro-batch by micro-batch.
 
@@ -117,22 +140,47 @@ def stream_link_events(rows: DataFrame, events: DataFrame, out: str, checkpoint:
     )
 
 
-def snapshot_path(root: str, version: int) -> str:
-    return f"{root}/version={version}"
+def _in_buckets(rows: DataFrame, many: int) -> DataFrame:
+    """Rows with the bucket of their event key; parts that are NULL count as such."""
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(*upserts.EVENT_KEY), F.lit(many)).cast("string"))
 
 
-def stream_upsert_events(batches: DataFrame, initial: DataFrame, root: str, checkpoint: str, as_of: str) -> StreamingQuery:
-    """Deduplicate and upsert arriving listings; batch n turns snapshot n into snapshot n + 1.
+def stream_upsert_events(
+    batches: DataFrame, initial: DataFrame, root: str, checkpoint: str, as_of: str, buckets: int = 64
+) -> StreamingQuery:
+    """Deduplicate and upsert arriving listings into a table of :class:`Versions`, in buckets of the key.
 
-    A repeated batch reads the same snapshot and overwrites its own, so the result
-    does not depend on how often it ran.
+    Version 0 is ``initial``, written only where there is none. Batch n reads the newest versions of the
+    buckets it touches and writes these anew as version n + 1; all others stay as they are. What a load did is counted and the
+    largest id is taken while it is written. A repeated batch reads the same versions and overwrites its own,
+    so the result does not depend on how often it ran. Versions no batch can need again are deleted.
     """
     spark: SparkSession = initial.sparkSession
-    initial.write.mode("overwrite").parquet(snapshot_path(root, 0))
+    table = Versions(spark, root, initial.schema)
+
+    def write(rows: DataFrame, version: int, touched: list[str], max_id: int) -> None:
+        seen = Observation(f"load-{version}")
+        counts = upserts.load_counts("_state")
+        rows = rows.observe(seen, F.max("event_id").alias("max_id"), *counts).drop("_state")
+        if touched:
+            table.write(_in_buckets(rows, buckets), version)
+        got = seen.get if touched else {}
+        table.commit(version, **{k: v or 0 for k, v in got.items()} | {"max_id": max(got.get("max_id") or 0, max_id)})
+
+    if not table.commits():
+        write(initial.withColumn("_state", F.lit(upserts.KEPT)), 0, ["all"], 0)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        current = spark.read.parquet(snapshot_path(root, batch_id))
-        upserts.upsert_events(current, batch, as_of).write.mode("overwrite").parquet(snapshot_path(root, batch_id + 1))
+        rows = _in_buckets(upserts.dedup_events(batch), buckets).persist()
+        touched = [r[0] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets``
+        max_id = table.note(batch_id).get("max_id", 0)
+        after = upserts.upsert(
+            table.read(batch_id, touched), rows.drop("bucket"), upserts.EVENT_KEY, "event_id", upserts.EVENT_KEEP, as_of,
+            max_id=max_id, state="_state",
+        )
+        write(after, batch_id + 1, touched, max_id)
+        table.retire(batch_id + 1, touched)
+        rows.unpersist()
 
     return (
         batches.writeStream.foreachBatch(load)

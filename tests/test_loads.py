@@ -39,11 +39,6 @@ def test_upsert_into_an_empty_table(spark):
     assert [r["event_id"] for r in got] == [1]
 
 
-def test_merge_statement():
-    sql = upserts.merge_sql("events", "batch", ["a", "b"], ["c"])
-    assert "ON t.a = s.a AND t.b = s.b" in sql and "VALUES (s.a, s.b, s.c)" in sql
-
-
 def test_link_events_to_venues_keeps_given_ids(spark):
     evs = [event(1, venue_id=None, venue_name="Venue 2"), event(2, venue_id=9, venue_name="Venue 2"), event(3, venue_id=None, venue_name=None)]
     got = upserts.link_events_to_venues(events(spark, evs), venues(spark)).collect()

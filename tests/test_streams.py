@@ -1,9 +1,13 @@
-from datetime import date, datetime
+import functools
+import random
+from datetime import date, datetime, timedelta
 
-from frames import DAY, event, events, meas, probe
+from frames import DAY, event, events, meas, probe, rows
+from pyspark.sql import functions as F
 
-from crowdlane.operators import linking, upserts
+from crowdlane.operators import aggregates, linking, upserts
 from crowdlane.sources.tables import TABLES
+from crowdlane.sources.versions import Versions
 from crowdlane.streaming import measurements as streams
 from test_loads import NOW, batch
 
@@ -31,27 +35,102 @@ def test_links_equal_the_batch_result(spark, tmp_path):
 
 
 def test_upserts_equal_one_after_another(spark, tmp_path):
-    target = events(spark, [event(1, event_name="A", venue_name="V")])
-    one, two = batch(spark, ("A", "V", DAY), ("B", "V", DAY)), batch(spark, ("B", "V", DAY), ("C", None, date(2024, 5, 1)), category="Newer")
-    stream = arrivals(spark, tmp_path / "in", one, two)
-    streams.stream_upsert_events(stream, target, str(tmp_path / "t"), str(tmp_path / "cp"), NOW).awaitTermination()
-    got = spark.read.parquet(streams.snapshot_path(str(tmp_path / "t"), 2))
-    want = upserts.upsert_events(upserts.upsert_events(target, one, NOW), two, NOW)
-    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
-    assert {r["event_name"]: r["category"] for r in got.collect()} == {"A": "New", "B": "Newer", "C": "Newer"}
+    target = events(spark, [event(1, event_name="A", venue_name="V"), *(event(10 + i, event_name=f"Other {i}", venue_name="W") for i in range(40))])
+    loads = [
+        batch(spark, ("A", "V", DAY), ("B", "V", DAY)),
+        batch(spark, ("B", "V", DAY), ("C", None, date(2024, 5, 1)), category="Newer"),
+        batch(spark, ("C", None, date(2024, 5, 1)), ("B", "V", DAY), ("D", "V", DAY), category="Newest"),
+    ]
+    root, cp = str(tmp_path / "t"), str(tmp_path / "cp")
+    table = Versions(spark, root, target.schema)
+
+    def run(i):
+        arrivals(spark, tmp_path / "in" / str(i), *loads[i : i + 2])
+        stream = spark.readStream.schema(loads[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*/*")
+        streams.stream_upsert_events(stream, target, root, cp, NOW).awaitTermination()
+
+    want, states = target, []
+    for load in loads:
+        want = upserts.upsert_events(want, load, NOW)
+        states.append(sorted(want.collect(), key=str))
+    run(0)
+    assert sorted(table.read().collect(), key=str) == states[1] and sorted(table.read(1).collect(), key=str) == states[0]
+    first = {b: table._of(b) for b in table.buckets()}
+    run(2)  # started again
+    assert sorted(table.read().collect(), key=str) == states[2]
+    assert {r["event_name"]: r["category"] for r in table.read().collect() if r["event_name"] < "E"} == {"A": "New", "B": "Newest", "C": "Newest", "D": "Newest"}
+    assert [table.note(v)["max_id"] for v in table.commits()] == [49, 51, 53, 56]
+    assert [(n["events_loaded"], n["new_events"]) for n in map(table.note, table.commits()[1:])] == [(2, 1), (2, 1), (3, 2)]
+    # buckets that no batch touched have their first version only, touched ones at most two
+    untouched = [b for b in table.buckets() if table._of(b) == [0]]
+    assert len(untouched) >= 15 and all(first[b] == [0] for b in untouched)
+    assert all(len(table._of(b)) <= 2 for b in table.buckets())
+    times = [f.stat().st_mtime for b in untouched for f in (tmp_path / "t" / "data" / f"bucket={b}").rglob("*.parquet")]
+    assert max(times) <= min(f.stat().st_mtime for f in (tmp_path / "t" / "data").rglob("version=1/*.parquet"))
+
+
+def test_hours_equal_the_batch_report_also_while_open(spark, tmp_path):
+    r = random.Random(3)
+
+    def some(first, n, hours):
+        at = [datetime(2024, 1, 3, *[0] * 3) + timedelta(hours=r.choice(hours), seconds=r.randrange(3600)) for _ in range(n)]
+        return [
+            probe(first + i, at=t, venue_id=r.choice([1, 2, 3, None]), event_id=r.choice([None, 7, 8]), baseline=i % 3 == 0, delay_minutes=r.choice([None, 2, 5]))
+            for i, t in enumerate(at)
+        ]
+
+    frames = [meas(spark, some(100 * i, 40, hours)) for i, hours in enumerate([(22, 23), (24, 25), (25, 26)])]
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run(*new):
+        if new:
+            arrivals(spark, tmp_path / "in" / str(len(new)), *new)
+        stream = spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*/*")
+        streams.stream_hourly_activity(stream, out, cp).awaitTermination()
+        return streams.read_hourly_activity(spark, out, streams.activity_cells(stream).schema)
+
+    def expected(*given):
+        return rows(aggregates.hourly_activity(functools.reduce(lambda a, b: a.unionByName(b), given)))
+
+    assert rows(run(frames[0])) == expected(frames[0])
+    # started again with more to read, and once more with nothing new
+    for new in (frames[1:], []):
+        assert rows(run(*new)) == expected(*frames)
+    table = Versions(spark, out, streams.activity_cells(meas(spark, [probe(1)])).schema)
+    # a day no later batch touched stays as it was written
+    assert table._of("20240103") == [0] and table._of("20240104") == [2, 3] and table.commits() == [0, 1, 2, 3, 4]
+
+
+def test_a_batch_run_again_and_half_a_batch(spark, tmp_path):
+    table = Versions(spark, str(tmp_path / "t"), spark.range(0).schema)
+    numbered = lambda a, b: spark.range(a, b).withColumn("bucket", F.col("id") % 3)
+    assert table.read().collect() == [] and table.commits() == []
+    table.write(numbered(0, 9), 0)
+    assert table.read().collect() == []
+    table.commit(0, n=9)
+    for _ in range(2):
+        table.write(numbered(0, 12).where("bucket = 1"), 1)
+    assert table.read().count() == 9 and table.read(1).count() == 10
+    table.commit(1)
+    table.commit(1)
+    assert table.read().count() == 10 and table.note(0) == {"n": 9} and table.read(buckets=["1"]).count() == 4
+    table.write(numbered(0, 15).where("bucket = 1"), 2)
+    table.retire(2, ["1", "2"])
+    assert table._of("1") == [1, 2] and table._of("2") == [0] and table.read(0, ["1"]).count() == 0
 
 
-def test_hours_are_emitted_once_closed_and_late_rows_drop(spark, tmp_path):
+def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
     early = meas(spark, [probe(1, at=datetime(2024, 1, 3, 8, 10)), probe(2, at=datetime(2024, 1, 3, 8, 50), baseline=True), probe(3, at=datetime(2024, 1, 3, 12, 30))])
     # a watermark holds for the batch after the one that raised it
     more = meas(spark, [probe(6, at=datetime(2024, 1, 3, 12, 40))])
     late = meas(spark, [probe(4, at=datetime(2024, 1, 3, 8, 20)), probe(5, at=datetime(2024, 1, 3, 16))])
     stream = arrivals(spark, tmp_path / "in", early, more, late)
     streams.stream_hourly_activity(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out")).orderBy("collection_hour").collect()
-    assert [(r["collection_hour"], r["measurements"], r["baseline_count"]) for r in got] == [
-        (datetime(2024, 1, 3, 8), 2, 1),
-        (datetime(2024, 1, 3, 12), 2, 0),
+    got = streams.read_hourly_activity(spark, str(tmp_path / "out"), streams.activity_cells(stream).schema)
+    assert [(r["collection_hour"].hour, r["measurements"], r["baseline_count"]) for r in got.orderBy("collection_hour").collect()] == [
+        (8, 2, 1),
+        (12, 2, 0),
+        (16, 1, 0),
     ]
 
 
