@@ -2,10 +2,14 @@
 
 Texts with equal sets are one class from the start. Classes that could link are
 found by pigeonhole: two sets that link differ in at most D values, so if the range
-of hashes is cut into D + 1 parts, one part is equal in both. D follows from the
+of hashes is cut into D + 1 + E parts, at least E + 1 parts are equal in both. Parts without
+values say nothing, so a set with at most E of them leaves these out: one of the
+equal parts is still there. D follows from the
 size, so parts are made per size band, and a set also enters the next band if a set
-there could link with it. Classes that share a part form groups of candidates;
-:mod:`.tiles` compares those in size-banded tiles by bitmaps and then exactly.
+there could link with it. Classes that share a part are candidates. First each is compared
+with the least class that shares a part with it, which joins near copies; parts that still
+have classes of several components form groups, and :mod:`.tiles` compares those in
+size-banded tiles by bitmaps and then exactly.
 """
 
 from __future__ import annotations
@@ -14,7 +18,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from crowdlane.operators.skew import splittable
 
 from . import words as wd
 from .components import components
@@ -42,7 +48,9 @@ def part_keys(sets: np.ndarray, begin: np.ndarray, num: int, den: int) -> tuple[
     band = np.concatenate([own[: 0], own[units]])
     band[np.count_nonzero(n > 0) :] += 1
     # the larger of two that link is below the band's end: bounds the sum of sizes, and so the difference
-    parts = (den - num) * 2 * (low[band + 1] - 1) // (den + num) + 1
+    differ = (den - num) * 2 * (low[band + 1] - 1) // (den + num)
+    spare = np.minimum(differ, 2) + differ // 6
+    parts = differ + 1 + spare
     base = np.concatenate([[0], np.cumsum(parts)])
     length = n[units]
     row = np.repeat(np.arange(len(units)), length)
@@ -57,10 +65,15 @@ def part_keys(sets: np.ndarray, begin: np.ndarray, num: int, den: int) -> tuple[
         keys[slot[edge]] = np.add.reduceat(wd.mix(h), edge)
     owner = np.repeat(np.arange(len(units)), parts)
     place = np.arange(base[-1]) - base[:-1][owner]
+    filled = np.zeros(base[-1], bool)
+    filled[slot] = True
+    empty = parts - np.bincount(owner, weights=filled, minlength=len(units)).astype(np.int64)
+    keep = filled | (empty > spare)[owner]
+    keys, owner, place = keys[keep], owner[keep], place[keep]
     keys = wd.mix(keys + wd.mix((band[owner] * (1 << 32) + place).astype(np.uint64)))
     # bring the keys of a set together again
     order = np.argsort(units[owner], kind="stable")
-    counts = np.bincount(units, weights=parts, minlength=len(n)).astype(np.int64)
+    counts = np.bincount(units[owner], minlength=len(n))
     return keys[order], np.concatenate([[0], np.cumsum(counts)])
 
 
@@ -74,18 +87,24 @@ def set_hash(sets: np.ndarray, begin: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, set_hash, keys of every text."""
+    """doc_id, n_shingles, set_hash, keys of every text; keys once per task and set, of rows that have a doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for part in wd.slices(batches):
             sets, begin = shingle_sets(part, k)
-            n = np.diff(begin)
+            n, hashes = np.diff(begin), set_hash(sets, begin)
+            valid = part.batch.column(0).is_valid().to_pylist()
+            # a group of copies adds its keys once per task, before they are shuffled
+            first = [ok and not (h in seen or seen.add(h)) for h, ok in zip(hashes.to_pylist(), valid, strict=True)]
+            own = np.where(first, n, 0)
+            at = np.repeat(first, n)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.batch.column(0),
                     pa.array(n),
-                    set_hash(sets, begin),
-                    wd.lists(*part_keys(sets, begin, num, den)),
+                    hashes,
+                    wd.lists(*part_keys(sets[at], np.concatenate([[0], np.cumsum(own)]), num, den)),
                 ],
                 names=["doc_id", "n_shingles", "set_hash", "keys"],
             )
@@ -102,6 +121,49 @@ def candidate_groups(keyed: DataFrame) -> DataFrame:
     return components(links, "node", "least").withColumnRenamed("component", "grp")
 
 
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """node, key, least: rows of frame (node, key) whose key other nodes have too, with the least node that has it."""
+    by_key = Window.partitionBy("key")
+    ends = keyed.select("node", "key", F.min("node").over(by_key).alias("least"), F.max("node").over(by_key).alias("most"))
+    return ends.where("least < most").select("node", "key", "least").distinct()
+
+
+def star_links(keyed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of the nodes that link with the least node of one of their keys."""
+    pairs = keyed.where("node > least").select("node", "least").distinct()
+    one = pairs.join(splittable(sets.selectExpr("node", "n", "payload"), "node"), "node")
+    other = splittable(sets.selectExpr("node as least", "n as m", "payload as theirs"), "least")
+    # sizes first: a larger set than that cannot link
+    fits = F.expr(f"{den} * least(n, m) >= {num} * greatest(n, m)")
+    both = one.join(other, "least").where(fits).select("node", "least", "payload", "theirs")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(den * both >= num * (len(x) + len(y) - both))
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
+
+    return both.mapInArrow(run, "a bigint, b bigint")
+
+
+def mixed_groups(keyed: DataFrame, known: DataFrame) -> DataFrame:
+    """(node, grp) of the keys whose nodes are in several components of ``known``; of equal groups one."""
+    names = known.selectExpr("~~node as node", "component")
+    rows = keyed.select("node", "key").join(names, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # a group is known by its size and two sums of hashes
+    groups = rows.groupBy("key").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.struct(F.count("*"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))).alias("who"),
+    )
+    chosen = groups.where("low < high").groupBy("who").agg(F.min("key").alias("grp")).select("grp")
+    return rows.select("node", F.col("key").alias("grp")).join(chosen.selectExpr("~~grp as grp"), "grp")
+
+
 def payloads(docs: DataFrame, k: int, wanted: Sieve) -> DataFrame:
     """doc_id, node, payload: the hash of the set and its sorted shingle hashes, of texts that pass the sieve."""
 
@@ -128,15 +190,19 @@ def ngram_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100)
     """
     sig = store(signatures(docs, k, num, den), "signatures")
     full = sig.where("n_shingles > 0 and doc_id is not null")
-    keyed = full.select(F.col("set_hash").alias("node"), F.explode("keys").alias("key"))
-    groups = candidate_groups(keyed)
+    keyed = store(shared_keys(full.select(F.col("set_hash").alias("node"), F.explode("keys").alias("key"))), "keyed")
     # one document stands for each class of equal sets
     first = full.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").cast("int").alias("n"))
-    reps = groups.join(first.selectExpr("~~set_hash as node", "rep as doc_id", "n"), "node")
-    reps = store(reps, "candidates")
-    texts = payloads(docs, k, Sieve(reps, "doc_id"))
-    links = verified_links(
-        reps, texts, ["doc_id", "node"], den / num, lambda size, sets: Jaccard(size, sets, num, den)
+    nodes = keyed.select("node").distinct().join(first.selectExpr("~~set_hash as node", "rep as doc_id", "n"), "node")
+    nodes = store(nodes, "candidates")
+    sets = store(
+        payloads(docs, k, Sieve(nodes, "doc_id")).join(nodes, ["doc_id", "node"]).select("node", "n", "payload"), "sets"
+    )
+    sure = store(star_links(keyed, sets, num, den), "sure")
+    members = mixed_groups(keyed, components(sure, "a", "b"))
+    members = members.join(nodes.selectExpr("~~node as node", "n"), "node")
+    links = sure.union(
+        verified_links(members, sets.select("node", "payload"), ["node"], den / num, lambda size, sets: Jaccard(size, sets, num, den))
     )
     # rows of one doc_id with different texts tie their classes together
     tied = full.groupBy("doc_id").agg(F.min("set_hash").alias("a"), F.max("set_hash").alias("b")).where("a < b")
