@@ -37,8 +37,11 @@ def size_bands(num: int, den: int, most: int) -> np.ndarray:
     return np.array(low, np.int64)
 
 
-def part_keys(sets: np.ndarray, begin: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """The part hashes of each set in its own band and, where it matters, the next; where each set's begin."""
+def part_keys(sets: np.ndarray, begin: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The part hashes of each set in its own band and, where it matters, the next; their marks; where each set's begin.
+
+    A mark is 2 n, and 1 more in the next band: n keys of that band at least are equal in any set that links.
+    """
     n = np.diff(begin)
     low = size_bands(num, den, int(n.max(initial=1)) * den // num + 1)
     own = np.searchsorted(low, n, "right") - 1
@@ -69,12 +72,15 @@ def part_keys(sets: np.ndarray, begin: np.ndarray, num: int, den: int) -> tuple[
     filled[slot] = True
     empty = parts - np.bincount(owner, weights=filled, minlength=len(units)).astype(np.int64)
     keep = filled | (empty > spare)[owner]
+    # of E + 1 equal parts or more, no more are empty than either set has empty ones
+    need = np.where(empty > spare, 1, spare + 1 - empty)
+    marks = 2 * need + (np.arange(len(units)) >= np.count_nonzero(n > 0))
     keys, owner, place = keys[keep], owner[keep], place[keep]
     keys = wd.mix(keys + wd.mix((band[owner] * (1 << 32) + place).astype(np.uint64)))
     # bring the keys of a set together again
     order = np.argsort(units[owner], kind="stable")
     counts = np.bincount(units[owner], minlength=len(n))
-    return keys[order], np.concatenate([[0], np.cumsum(counts)])
+    return keys[order], marks[owner][order], np.concatenate([[0], np.cumsum(counts)])
 
 
 def shingle_sets(part: wd.Slice, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +93,7 @@ def set_hash(sets: np.ndarray, begin: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, set_hash, keys of every text; keys once per task and set, of rows that have a doc_id."""
+    """doc_id, n_shingles, set_hash, keys, marks of every text; keys once per task and set, of rows that have a doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -99,18 +105,20 @@ def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
             first = [ok and not (h in seen or seen.add(h)) for h, ok in zip(hashes.to_pylist(), valid, strict=True)]
             own = np.where(first, n, 0)
             at = np.repeat(first, n)
+            keys, marks, edges = part_keys(sets[at], np.concatenate([[0], np.cumsum(own)]), num, den)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.batch.column(0),
                     pa.array(n),
                     hashes,
-                    wd.lists(*part_keys(sets[at], np.concatenate([[0], np.cumsum(own)]), num, den)),
+                    wd.lists(keys, edges),
+                    pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(marks.astype(np.int32))),
                 ],
-                names=["doc_id", "n_shingles", "set_hash", "keys"],
+                names=["doc_id", "n_shingles", "set_hash", "keys", "marks"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, set_hash bigint, keys array<bigint>"
+        run, "doc_id bigint, n_shingles bigint, set_hash bigint, keys array<bigint>, marks array<int>"
     )
 
 
@@ -122,15 +130,28 @@ def candidate_groups(keyed: DataFrame) -> DataFrame:
 
 
 def shared_keys(keyed: DataFrame) -> DataFrame:
-    """node, key, least: rows of frame (node, key) whose key other nodes have too, with the least node that has it."""
+    """node, key, need, least: rows of frame (node, key, mark) that may be of a link, with the least node of their key.
+
+    A key of one node links nothing, and neither does a node that shares fewer keys of a band
+    with others than its mark asks for; both go.
+    """
     by_key = Window.partitionBy("key")
-    ends = keyed.select("node", "key", F.min("node").over(by_key).alias("least"), F.max("node").over(by_key).alias("most"))
-    return ends.where("least < most").select("node", "key", "least").distinct()
+
+    def of_several(rows: DataFrame) -> DataFrame:
+        ends = rows.select("node", "key", "mark", F.min("node").over(by_key).alias("least"), F.max("node").over(by_key).alias("most"))
+        return ends.where("least < most")
+
+    shared = of_several(keyed).select("node", "key", "mark").distinct()
+    enough = shared.groupBy("node", "mark").agg(F.count("*").alias("n")).where("n >= mark div 2")
+    kept = shared.join(enough.selectExpr("~~node as node", "mark"), ["node", "mark"])
+    return of_several(kept).selectExpr("node", "key", "mark div 2 as need", "least")
 
 
 def star_links(keyed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) of the nodes that link with the least node of one of their keys."""
-    pairs = keyed.where("node > least").select("node", "least").distinct()
+    # only pairs that share as many keys as a link needs; those that share them with a third node first come later
+    pairs = keyed.where("node > least").groupBy("node", "least").agg(F.count("*").alias("n_keys"), F.min("need").alias("need"))
+    pairs = pairs.where("n_keys >= need").select("node", "least")
     one = pairs.join(splittable(sets.selectExpr("node", "n", "payload"), "node"), "node")
     other = splittable(sets.selectExpr("node as least", "n as m", "payload as theirs"), "least")
     # sizes first: a larger set than that cannot link
@@ -190,7 +211,7 @@ def ngram_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100)
     """
     sig = store(signatures(docs, k, num, den), "signatures")
     full = sig.where("n_shingles > 0 and doc_id is not null")
-    keyed = store(shared_keys(full.select(F.col("set_hash").alias("node"), F.explode("keys").alias("key"))), "keyed")
+    keyed = store(shared_keys(full.select(F.col("set_hash").alias("node"), F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("marks").alias("mark"))))), "keyed")
     # one document stands for each class of equal sets
     first = full.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").cast("int").alias("n"))
     nodes = keyed.select("node").distinct().join(first.selectExpr("~~set_hash as node", "rep as doc_id", "n"), "node")
