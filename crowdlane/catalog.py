@@ -367,7 +367,8 @@ def _(d: Data) -> DataFrame:
 
 @query("dashboard_filter")
 def _(d: Data) -> DataFrame:
-    return filters.dashboard_filter(d.detail, AS_OF, category="Sports", data_quality="complete").select(
+    rows = filters.dashboard(d.events, d.venues, d.meas, AS_OF, category="Sports", data_quality="complete")
+    return rows.select(
         "event_id", "category", "event_start_date", "impact_level", "data_quality", "impact_above_baseline"
     )
 
@@ -578,7 +579,7 @@ def _(d: Data) -> DataFrame:
 
 @query("map_and_timeline_points")
 def _(d: Data) -> DataFrame:
-    return reports.map_and_timeline_points(filters.dashboard_filter(d.detail, AS_OF))
+    return reports.map_and_timeline_points(filters.dashboard(d.events, d.venues, d.meas, AS_OF))
 
 
 @query("before_during_after")

@@ -22,16 +22,20 @@ def moment(as_of: datetime | str) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
-def measured_since(df: DataFrame, since: Column, after: bool = False) -> DataFrame:
-    """Rows measured at or after ``since`` (``after``: strictly later).
+def measured_since(df: DataFrame, since: Column, after: bool = False, before: Column | None = None) -> DataFrame:
+    """Rows measured at or after ``since`` (``after``: strictly later), and earlier than ``before`` where it is given.
 
     A table partitioned by ``measurement_date`` is bounded on that column too, so
     that whole partitions are skipped.
     """
     t = F.col("measurement_time")
     out = df.filter(t > since if after else t >= since)
+    if before is not None:
+        out = out.filter(t < before)
     if "measurement_date" in df.columns:
         out = out.filter(F.col("measurement_date") >= F.to_date(since))
+        if before is not None:
+            out = out.filter(F.col("measurement_date") <= F.to_date(before))
     return out
 
 

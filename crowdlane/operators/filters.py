@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from crowdlane.functions import clock
+from crowdlane.operators import impact
 
 ALL = "All"
 
@@ -100,13 +101,52 @@ def dashboard_filter(
     data_quality: str = ALL,
 ) -> DataFrame:
     """Impact rows of the current month that meet the chosen values."""
-    df = detail
-    for column, wanted in (("category", category), ("impact_level", impact_level), ("data_quality", data_quality)):
+    df = events_of_month(detail, as_of, category)
+    for column, wanted in (("impact_level", impact_level), ("data_quality", data_quality)):
         if wanted != ALL:
             df = df.filter(F.col(column) == wanted)
+    return df
+
+
+def events_of_month(events: DataFrame, as_of: str, category: str = ALL) -> DataFrame:
+    """Rows of the current month, of one category if chosen: what a dashboard can say of events before any fact is read."""
     month = F.trunc(F.to_date(clock.moment(as_of)), "month")
     # bounds on the bare column, so that partitions and row groups can be skipped
-    return df.filter((F.col("event_start_date") >= month) & (F.col("event_start_date") < F.add_months(month, 1)))
+    df = events.filter((F.col("event_start_date") >= month) & (F.col("event_start_date") < F.add_months(month, 1)))
+    return df if category == ALL else df.filter(F.col("category") == category)
+
+
+def facts_of_events(meas: DataFrame, events: DataFrame) -> DataFrame:
+    """Measurements that the impact of ``events`` depends on: linked to one of them, or baseline at one of their venues.
+
+    Both are semi-joins with the few keys left of the events, so the facts are reduced
+    before they are added up and shuffled. A baseline row that carries an event counts at its venue; a row
+    passes one of the two branches only.
+    """
+    base = F.coalesce((F.col("is_baseline") == F.lit(True)) & F.col("venue_id").isNotNull(), F.lit(False))
+    ids = events.select("event_id").distinct()
+    places = events.filter("venue_id IS NOT NULL").select(F.col("venue_id").alias("_at")).distinct()
+    at_venue = meas.filter(base).join(places, F.col("venue_id") == F.col("_at"), "left_semi")
+    elsewhere = meas.filter(base & F.col("event_id").isNotNull()).join(
+        places, F.col("venue_id") == F.col("_at"), "left_anti"
+    )
+    linked = meas.filter(~base & F.col("event_id").isNotNull()).unionByName(elsewhere)
+    return at_venue.unionByName(linked.join(ids, "event_id", "left_semi").select(meas.columns))
+
+
+def dashboard(
+    events: DataFrame,
+    venues: DataFrame,
+    meas: DataFrame,
+    as_of: str,
+    category: str = ALL,
+    impact_level: str = ALL,
+    data_quality: str = ALL,
+) -> DataFrame:
+    """:func:`dashboard_filter` of the impact detail, worked out for the events of the month alone."""
+    shown = events_of_month(events, as_of, category)
+    rows = impact.event_traffic_with_baseline(shown, venues, facts_of_events(meas, shown))
+    return dashboard_filter(impact.event_impact_detail(rows), as_of, category, impact_level, data_quality)
 
 
 def numeric_coerce(detail: DataFrame) -> DataFrame:

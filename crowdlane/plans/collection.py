@@ -205,8 +205,8 @@ def slot_coverage(venues: DataFrame, meas: DataFrame, as_of: str, groups: int =
     day = F.to_date(clock.moment(as_of))
     lo, hi = day.cast("timestamp_ntz"), F.date_add(day, 1).cast("timestamp_ntz")
     found = (
-        clock.measured_since(meas, lo)
-        .filter((F.col("measurement_time") < hi) & (F.col("is_baseline") == F.lit(True)))
+        clock.measured_since(meas, lo, before=hi)
+        .filter(F.col("is_baseline") == F.lit(True))
         .select("venue_id", baseline_slot("measurement_time").alias("slot"))
         .filter("slot IS NOT NULL")
         .groupBy("venue_id", "slot")
