@@ -6,9 +6,8 @@ of hashes is cut into D + 1 + E parts, at least E + 1 parts are equal in both. P
 values say nothing, so a set with at most E of them leaves these out: one of the
 equal parts is still there. D follows from the
 size, so parts are made per size band, and a set also enters the next band if a set
-there could link with it. Classes that share a part are candidates. First each is compared
-with the least class that shares a part with it, which joins near copies; parts that still
-have classes of several components form groups, and :mod:`.tiles` compares those in
+there could link with it. Classes that share as many parts as a link asks for are candidates;
+those that share parts form groups, and :mod:`.tiles` compares these in
 size-banded tiles by bitmaps and then exactly.
 """
 
@@ -20,8 +19,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from crowdlane.operators.skew import splittable
-
 from . import words as wd
 from .components import components
 from .scratch import store
@@ -130,7 +127,7 @@ def candidate_groups(keyed: DataFrame) -> DataFrame:
 
 
 def shared_keys(keyed: DataFrame) -> DataFrame:
-    """node, key, need, least: rows of frame (node, key, mark) that may be of a link, with the least node of their key.
+    """node, least of frame (node, key, mark): nodes that may be of a link, with the least node of each of their keys.
 
     A key of one node links nothing, and neither does a node that shares fewer keys of a band
     with others than its mark asks for; both go.
@@ -141,48 +138,10 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
         ends = rows.select("node", "key", "mark", F.min("node").over(by_key).alias("least"), F.max("node").over(by_key).alias("most"))
         return ends.where("least < most")
 
-    shared = of_several(keyed).select("node", "key", "mark").distinct()
+    shared = store(of_several(keyed).select("node", "key", "mark").distinct(), "shared")
     enough = shared.groupBy("node", "mark").agg(F.count("*").alias("n")).where("n >= mark div 2")
     kept = shared.join(enough.selectExpr("~~node as node", "mark"), ["node", "mark"])
-    return of_several(kept).selectExpr("node", "key", "mark div 2 as need", "least")
-
-
-def star_links(keyed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) of the nodes that link with the least node of one of their keys."""
-    # only pairs that share as many keys as a link needs; those that share them with a third node first come later
-    pairs = keyed.where("node > least").groupBy("node", "least").agg(F.count("*").alias("n_keys"), F.min("need").alias("need"))
-    pairs = pairs.where("n_keys >= need").select("node", "least")
-    one = pairs.join(splittable(sets.selectExpr("node", "n", "payload"), "node"), "node")
-    other = splittable(sets.selectExpr("node as least", "n as m", "payload as theirs"), "least")
-    # sizes first: a larger set than that cannot link
-    fits = F.expr(f"{den} * least(n, m) >= {num} * greatest(n, m)")
-    both = one.join(other, "least").where(fits).select("node", "least", "payload", "theirs")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            kept = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
-
-    return both.mapInArrow(run, "a bigint, b bigint")
-
-
-def mixed_groups(keyed: DataFrame, known: DataFrame) -> DataFrame:
-    """(node, grp) of the keys whose nodes are in several components of ``known``; of equal groups one."""
-    names = known.selectExpr("~~node as node", "component")
-    rows = keyed.select("node", "key").join(names, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    # a group is known by its size and two sums of hashes
-    groups = rows.groupBy("key").agg(
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-        F.struct(F.count("*"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))).alias("who"),
-    )
-    chosen = groups.where("low < high").groupBy("who").agg(F.min("key").alias("grp")).select("grp")
-    return rows.select("node", F.col("key").alias("grp")).join(chosen.selectExpr("~~grp as grp"), "grp")
+    return of_several(kept).select("node", "least").distinct()
 
 
 def payloads(docs: DataFrame, k: int, wanted: Sieve) -> DataFrame:
@@ -212,18 +171,14 @@ def ngram_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100)
     sig = store(signatures(docs, k, num, den), "signatures")
     full = sig.where("n_shingles > 0 and doc_id is not null")
     keyed = store(shared_keys(full.select(F.col("set_hash").alias("node"), F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("marks").alias("mark"))))), "keyed")
+    groups = components(keyed.where("node > least"), "node", "least").withColumnRenamed("component", "grp")
     # one document stands for each class of equal sets
     first = full.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").cast("int").alias("n"))
-    nodes = keyed.select("node").distinct().join(first.selectExpr("~~set_hash as node", "rep as doc_id", "n"), "node")
-    nodes = store(nodes, "candidates")
-    sets = store(
-        payloads(docs, k, Sieve(nodes, "doc_id")).join(nodes, ["doc_id", "node"]).select("node", "n", "payload"), "sets"
-    )
-    sure = store(star_links(keyed, sets, num, den), "sure")
-    members = mixed_groups(keyed, components(sure, "a", "b"))
-    members = members.join(nodes.selectExpr("~~node as node", "n"), "node")
-    links = sure.union(
-        verified_links(members, sets.select("node", "payload"), ["node"], den / num, lambda size, sets: Jaccard(size, sets, num, den))
+    reps = groups.join(first.selectExpr("~~set_hash as node", "rep as doc_id", "n"), "node")
+    reps = store(reps, "candidates")
+    texts = payloads(docs, k, Sieve(reps, "doc_id"))
+    links = verified_links(
+        reps, texts, ["doc_id", "node"], den / num, lambda size, sets: Jaccard(size, sets, num, den)
     )
     # rows of one doc_id with different texts tie their classes together
     tied = full.groupBy("doc_id").agg(F.min("set_hash").alias("a"), F.max("set_hash").alias("b")).where("a < b")
