@@ -411,7 +411,7 @@ def _(d: Data) -> DataFrame:
 @query("match_rank")
 def _(d: Data) -> DataFrame:
     return linking.match_events(d.raw, d.events).select(
-        "measurement_id", "event_id", "event_name", "measurement_time"
+        "measurement_id", "event_id", "event_name", "event_datetime", "measurement_time", "hours_from_event"
     )
 
 

@@ -113,6 +113,38 @@ def _matrix_answer(doc: Column) -> Column:
     return F.when((doc["status"] == "OK") & (element["status"] == "OK"), out)
 
 
+def parse_probe(payload: Column | str, kind: Column | str, lat: Column | None = None, lng: Column | None = None) -> Column:
+    """What flow, route and matrix answers have in common, by the ``kind`` of the payload; NULL for other kinds.
+
+    The text is parsed once, by a schema that has the fields of all kinds, which do not clash.
+    """
+    own = [c if c is not None else F.lit(None).cast("double") for c in (lat, lng)]
+    shared = [
+        "traffic_level",
+        "avg_speed_mph",
+        "typical_speed_mph",
+        "travel_time_seconds",
+        "typical_time_seconds",
+        "delay_minutes",
+        "distance_miles",
+        "data_source",
+    ]
+
+    def narrow(answer: Column) -> Column:
+        return F.when(answer.isNotNull(), F.struct(*[answer[c].alias(c) for c in shared]))
+
+    def any_kind(doc: Column) -> Column:
+        route = F.get(doc["routes"], F.lit(0))["summary"]
+        return (
+            F.when(col(kind) == "flow", let(_flow_answer(doc["flowSegmentData"], *own), narrow))
+            .when(col(kind) == "route", let(_route_answer(route), narrow))
+            .when(col(kind) == "matrix", let(_matrix_answer(doc), narrow))
+        )
+
+    every = ", ".join((schema.FLOW_PAYLOAD, schema.ROUTE_PAYLOAD, schema.MATRIX_PAYLOAD))
+    return let(F.from_json(col(payload), every), any_kind)
+
+
 def parse_geocode(payload: Column | str) -> Column:
     """Best (first) geocoding result; also serves reverse lookups, whose location is NULL."""
 

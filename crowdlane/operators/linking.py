@@ -108,8 +108,10 @@ def event_traffic_data(events: DataFrame, venues: DataFrame, meas: DataFrame) ->
     )
 
 
-def events_with_traffic(events: DataFrame, meas: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
-    """Events with at least one measurement of any kind in their window, newest first.
+def events_with_traffic(
+    events: DataFrame, meas: DataFrame, seconds: int = WINDOW_SECONDS, limit: int | None = None
+) -> DataFrame:
+    """Events with at least one measurement of any kind in their window, newest first; at most ``limit`` of them.
 
     No pairs are formed. Measurements shrink to the first and last instant per
     (venue, bin); the bin of the start lies wholly inside the window, the earlier
@@ -132,7 +134,7 @@ def events_with_traffic(events: DataFrame, meas: DataFrame, seconds: int = WINDO
         | ((F.col("_shift") < 0) & (F.col("last_us") >= F.col("start_us") - reach))
         | ((F.col("_shift") > 0) & (F.col("first_us") <= F.col("start_us") + reach))
     )
-    return (
+    found = (
         near.join(splittable(edges, "venue_id", "_bin"), ["venue_id", "_bin"])
         .filter(hit)
         .groupBy("event_id", "event_start_date")
@@ -140,6 +142,7 @@ def events_with_traffic(events: DataFrame, meas: DataFrame, seconds: int = WINDO
         .drop("has_traffic")
         .orderBy(F.desc("event_start_date"), "event_id")
     )
+    return found if limit is None else found.limit(limit)
 
 
 def traffic_for_event(events: DataFrame, venues: DataFrame, meas: DataFrame) -> DataFrame:
@@ -222,13 +225,18 @@ def unlinked_event_rows(meas: DataFrame) -> DataFrame:
 
 
 def match_events(meas: DataFrame, events: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
-    """The closest event of each unlinked row that has one: the back-fill report."""
-    points = event_points(events, F.struct("event_id", "event_name").alias("point"))
+    """The closest event of each unlinked row that has one: the back-fill report.
+
+    Beside the event's columns come its start, ``event_datetime``, and the row's ``hours_from_event``.
+    """
+    start = clock.start_ts().alias("event_datetime")
+    points = event_points(events, F.struct("event_id", "event_name", start).alias("point"))
     return (
         nearest_point(unlinked_event_rows(meas).drop("event_id"), points, seconds)
         .filter(F.col("nearest").isNotNull())
         .select("*", "nearest.*")
         .drop("nearest")
+        .withColumn("hours_from_event", clock.hours_between(F.col("event_datetime"), F.col("measurement_time")))
     )
 
 

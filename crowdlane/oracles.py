@@ -469,7 +469,13 @@ ORACLES: dict[str, str] = {
         "hours_from_event",
     ),
     "nearest_event_link": _sql("SELECT measurement_id, venue_id, event_id, is_baseline FROM linked"),
-    "match_rank": _sql("SELECT measurement_id, event_id, event_name, measurement_time FROM near JOIN meas USING (measurement_id)"),
+    "match_rank": _sql(
+        """SELECT measurement_id, event_id, event_name, t AS event_datetime, measurement_time,
+                  (epoch_us(measurement_time) - epoch_us(t)) / 3600000000.0::double AS hours_from_event
+           FROM (SELECT n.*, m.measurement_time, s.event_start_date::timestamp + to_seconds(s.start_sec) AS t
+                 FROM (SELECT measurement_id, event_id, event_name FROM near) n JOIN meas m USING (measurement_id) JOIN sched s USING (event_id))""",
+        "hours_from_event",
+    ),
     "event_impact_detail": _sql("SELECT * FROM detail", *IMPACT_DOUBLES),
     "events_missing_traffic": _sql(
         f"""SELECT event_id, event_name, event_start_date, start_sec, category, venue_name, d::int AS days_until_event,
@@ -657,9 +663,18 @@ ORACLES: dict[str, str] = {
            FROM sched"""
     ),
     "daily_usage_forecast": _sql(
-        f"""SELECT *, round(total_calls * 100.0::double / 2500, 1) AS limit_pct FROM (
-            {_forecast("timestamp '2024-01-24 17:30:00'")} UNION ALL {_forecast(NOW)})""",
+        " UNION ALL ".join(
+            f"""SELECT collection, completed_calls::bigint AS completed_calls, remaining_calls::bigint AS remaining_calls,
+                       total_calls::bigint AS total_calls, round(total_calls * 100.0::double / 2500, 1) AS limit_pct,
+                       round(paid * 0.007::double, 2) AS cost, (paid * 30)::bigint AS monthly_calls
+                FROM (SELECT coalesce(collection, 'total') AS collection, sum(completed_calls) AS completed_calls,
+                             sum(remaining_calls) AS remaining_calls, sum(total_calls) AS total_calls,
+                             coalesce(sum(total_calls) FILTER (collection = 'event'), 0) AS paid
+                      FROM ({_forecast(now)}) GROUP BY ROLLUP (collection))"""
+            for now in ("timestamp '2024-01-24 17:30:00'", NOW)
+        ),
         "limit_pct",
+        "cost",
     ),
     "map_and_timeline_points": _sql(
         f"""SELECT event_id, event_name, venue_name, category, event_start_date, latitude, longitude, impact_above_baseline AS impact_minutes,

@@ -254,7 +254,8 @@ def daily_usage_forecast(events: DataFrame, venues: DataFrame, as_of: str) -> Da
 
     Baseline runs in the two-group calendar with half of all venues, four calls per
     slot; an event has five points of two calls. A slot counts as made from its
-    minute on, a later one of the running hour as neither.
+    minute on, a later one of the running hour as neither. The line ``total`` adds both; ``cost`` is that of
+    the event calls, which are paid for, and ``monthly_calls`` what they come to if every day is alike.
     """
     now = clock.moment(as_of)
     hour, minute = F.hour(now), F.minute(now)
@@ -284,6 +285,14 @@ def daily_usage_forecast(events: DataFrame, venues: DataFrame, as_of: str) -> Da
         F.coalesce(F.sum(F.when(F.col("status") == "upcoming", F.col("calls"))), F.lit(0)).alias("remaining_calls"),
         F.coalesce(F.sum("calls"), F.lit(0)).alias("total_calls"),
     )
-    return baseline.unionByName(event).withColumn(
-        "limit_pct", F.round(F.col("total_calls") * 100.0 / DAILY_LIMIT, 1)
+    calls = ["completed_calls", "remaining_calls", "total_calls"]
+    paid = F.when(F.col("collection") == "event", F.col("total_calls")).otherwise(0)
+    lines = baseline.unionByName(event).withColumn("paid", paid)
+    total = lines.agg(F.lit("total").alias("collection"), *(F.sum(c).alias(c) for c in [*calls, "paid"]))
+    return lines.unionByName(total).select(
+        "collection",
+        *calls,
+        F.round(F.col("total_calls") * 100.0 / DAILY_LIMIT, 1).alias("limit_pct"),
+        F.round(F.col("paid") * COST_PER_CALL, 2).alias("cost"),
+        (F.col("paid") * 30).cast("bigint").alias("monthly_calls"),
     )

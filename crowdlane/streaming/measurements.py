@@ -6,11 +6,14 @@ session's shared folder; each restarts where it stopped after a lost executor or
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from crowdlane.functions import payloads
+from crowdlane.functions.clock import WINDOW_SECONDS
 from crowdlane.operators import aggregates, linking, upserts
 from crowdlane.sources.tables import conform, stamp_measurements
 from crowdlane.sources.versions import Versions
@@ -22,26 +25,7 @@ def parse_probes(raw: DataFrame) -> DataFrame:
     ``payload_kind`` is flow, route or matrix; probes without a usable answer are dropped.
     The payload is kept as ``raw_response``.
     """
-    kind = F.col("payload_kind")
-    shared = [
-        "traffic_level",
-        "avg_speed_mph",
-        "typical_speed_mph",
-        "travel_time_seconds",
-        "typical_time_seconds",
-        "delay_minutes",
-        "distance_miles",
-        "data_source",
-    ]
-
-    def narrow(parsed: Column) -> Column:
-        return F.when(parsed.isNotNull(), F.struct(*[parsed[c].alias(c) for c in shared]))
-
-    answer = (
-        F.when(kind == "flow", narrow(payloads.parse_flow("payload", F.col("origin_lat"), F.col("origin_lng"))))
-        .when(kind == "route", narrow(payloads.parse_route("payload")))
-        .when(kind == "matrix", narrow(payloads.parse_matrix("payload")))
-    )
+    answer = payloads.parse_probe("payload", "payload_kind", F.col("origin_lat"), F.col("origin_lng"))
     rows = raw.withColumn("_answer", answer).filter("_answer IS NOT NULL").select("*", "_answer.*")
     return stamp_measurements(
         rows.withColumn("raw_response", F.col("payload")).drop("_answer", "payload", "payload_kind")
@@ -49,13 +33,25 @@ def parse_probes(raw: DataFrame) -> DataFrame:
 
 
 def stream_measurements(raw: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append parsed probes, in the declared types, to a table partitioned by day."""
+    """Append parsed probes, in the declared types, to a table partitioned by day.
+
+    Each batch is brought together by day before it is written, and a busy day is split, so that it makes few
+    files. They are named by the batch, and a batch run again replaces its own: ``measurement_date=.../batch_id=...``.
+    """
     rows = conform(parse_probes(raw), "traffic_measurements").withColumn("measurement_date", F.to_date("measurement_time"))
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        (
+            batch.withColumn("batch_id", F.lit(batch_id))
+            .hint("rebalance", "measurement_date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("measurement_date", "batch_id")
+            .parquet(out)
+        )
+
     return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("measurement_date")
-        .option("path", out)
+        rows.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -122,15 +118,37 @@ def read_hourly_activity(spark: SparkSession, out: str, cells: StructType) -> Da
     return aggregates.activity_by_hour(Versions(spark, out, cells).read())
 
 
-def stream_link_events(rows: DataFrame, events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def link_batch(batch: DataFrame, events: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
+    """``batch`` linked to its nearest events, of which only the days that its rows can reach are read.
+
+    The days come from the batch's rows that lack an event, as one row of bounds; they prune
+    a schedule partitioned by ``event_start_date`` and skip row groups of any other.
+    """
+    reach = F.make_interval(secs=F.lit(seconds))
+    t = F.col("measurement_time")
+    span = linking.unlinked_event_rows(batch).agg(F.to_date(F.min(t) - reach).alias("lo"), F.to_date(F.max(t) + reach).alias("hi"))
+    lo, hi = span.first()
+    if lo is None:
+        return batch
+    near = events.filter(F.col("event_start_date").between(F.lit(lo), F.lit(hi)))
+    return linking.link_measurements(batch, near, seconds)
+
+
+def stream_link_events(
+    rows: DataFrame, events: DataFrame | Callable[[], DataFrame], out: str, checkpoint: str
+) -> StreamingQuery:
     """Link arriving rows to their nearest event, micro-batch by micro-batch.
 
-    A batch owns the folder named by its id and overwrites it, so a batch run
+    ``events`` given as a function is asked anew for every batch, so that later changes of
+    the schedule count from the next batch on. A batch owns the folder named by its id and overwrites it, so a batch run
     again after a failure leaves no duplicates.
     """
+    schedule = events if callable(events) else lambda: events
 
     def link(batch: DataFrame, batch_id: int) -> None:
-        linking.link_measurements(batch, events).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        held = batch.persist()
+        link_batch(held, schedule()).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        held.unpersist()
 
     return (
         rows.writeStream.foreachBatch(link)

@@ -108,3 +108,10 @@ def test_before_during_after(spark):
     assert (got["avg_delay_before"], got["avg_delay_during"], got["avg_delay_after"], got["impact_minutes"]) == (1, 9, 4, 3)
     only_before = linking.before_during_after(events(spark, [event(1)]), venues(spark), meas(spark, probes[:1]))
     assert rows(only_before) == []
+
+
+def test_backfill_report_and_limit(spark):
+    e, m = events(spark, [event(1), event(2, sec=20 * 3600)]), meas(spark, [probe(1, -30), probe(2, 130)])
+    got = {r["measurement_id"]: (r["event_id"], r["event_datetime"].hour, r["hours_from_event"]) for r in linking.match_events(m, e).collect()}
+    assert got == {1: (1, 18, -0.5), 2: (2, 20, 1 / 6)}
+    assert [r["event_id"] for r in linking.events_with_traffic(e, m, limit=1).collect()] == [1]

@@ -1,5 +1,6 @@
 """The plans at scale: what is pruned, what is cut before a shuffle, what is split when hot."""
 
+import re
 from datetime import timedelta
 
 import pytest
@@ -7,8 +8,8 @@ from frames import DAY, event, events, meas, probe, venues
 from pyspark.sql import functions as F
 from test_linking import hot_fixture
 
-from crowdlane.operators import aggregates, halves, impact, linking, ranking, upserts
-from crowdlane.plans import reports
+from crowdlane.operators import aggregates, filters, halves, impact, linking, ranking, upserts
+from crowdlane.plans import collection, reports
 from crowdlane.sources import tables
 
 
@@ -151,3 +152,28 @@ def test_linked_baseline_branch_is_dropped(spark):
     linked = linking.link_measurements(m, e).filter("is_baseline = true AND event_id IS NULL")
     assert "Join" not in plan(linked) and linked.count() == 1
     assert linking.event_traffic_data(e, venues(spark), m).count() == 2
+
+
+def test_report_bounds_prune_on_both_sides(spark, tmp_path):
+    rows = meas(spark, [probe(i, day=DAY + timedelta(days=i), baseline=True) for i in range(5)])
+    tables.append_measurements(rows, str(tmp_path / "m"))
+    stored = spark.read.parquet(str(tmp_path / "m"))
+    covered = collection.slot_coverage(venues(spark), stored, f"{DAY + timedelta(days=2)} 12:00:00")
+    assert "PartitionFilters: [isnotnull(measurement_date" in plan(covered)
+    bounds = covered._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"measurement_date#\d+ >= 2024-01-05", bounds) and re.search(r"measurement_date#\d+ <= 2024-01-06", bounds)
+
+
+def test_a_dashboard_reads_the_facts_of_its_events(spark):
+    evs, probes = hot_fixture(5)
+    linked = [{**m, "event_id": m["measurement_id"] % 60 if m["measurement_id"] % 3 else None} for m in probes]
+    e, m, v = events(spark, evs), meas(spark, linked), venues(spark, (1, 2, 3))
+    as_of = f"{evs[0]['event_start_date']} 00:00:00"
+    whole = filters.dashboard_filter(impact.event_impact_detail(impact.event_traffic_with_baseline(e, v, m)), as_of, category="Sports")
+    part = filters.dashboard(e, v, m, as_of, category="Sports")
+    assert sorted(part.collect(), key=str) == sorted(whole.collect(), key=str) != []
+    few = e.where("event_id = 3")
+    kept = filters.facts_of_events(m, few)
+    assert 0 < kept.count() < m.count() and "LeftSemi" in plan(kept)
+    one = impact.event_traffic_with_baseline(few, v, kept).collect()
+    assert one == impact.event_traffic_with_baseline(e, v, m).where("event_id = 3").collect()

@@ -1,5 +1,6 @@
 import functools
 import random
+import re
 from datetime import date, datetime, timedelta
 
 from frames import DAY, event, events, meas, probe, rows
@@ -146,8 +147,48 @@ def test_probes_become_measurements(spark, tmp_path):
     ).selectExpr("*", "1L AS venue_id", "true AS is_baseline", "'weekly' AS baseline_type", "35D AS origin_lat", "-106D AS origin_lng")
     stream = arrivals(spark, tmp_path / "in", raw)
     streams.stream_measurements(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert all(len(list(day.rglob("*.parquet"))) == 1 for day in (tmp_path / "out").glob("measurement_date=*"))
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("measurement_id").collect()
     assert [(r["measurement_id"], r["delay_minutes"], r["data_source"], r["hour_of_day"]) for r in got] == [(1, 2, "tomtom", 8), (2, 0, "tomtom", 9)]
     # the stored table has the declared columns, with the payload as it came
     stored = spark.read.schema(TABLES["traffic_measurements"]).parquet(str(tmp_path / "out"))
     assert stored.where("raw_response like '{%' and avg_speed_mph > 0").count() == 2
+
+
+def test_a_batch_reads_only_the_days_it_can_reach(spark, tmp_path):
+    days = [event(i, day=DAY + timedelta(days=i)) for i in range(10)]
+    events(spark, days).write.partitionBy("event_start_date").parquet(str(tmp_path / "schedule"))
+    schedule = spark.read.parquet(str(tmp_path / "schedule"))
+    late = meas(spark, [probe(1, day=DAY + timedelta(days=3)), probe(2, at=datetime(2024, 1, 7, 23, 30)), probe(3, baseline=True, day=DAY + timedelta(days=9))])
+    linked = streams.link_batch(late, schedule)
+    text = linked._jdf.queryExecution().executedPlan().toString()
+    # 2024-01-06 and, within two hours of the last row, 2024-01-08
+    assert "PartitionFilters: [isnotnull(event_start_date" in text
+    bounds = linked._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"event_start_date#\d+ >= 2024-01-06", bounds) and re.search(r"event_start_date#\d+ <= 2024-01-08", bounds)
+    assert {r["measurement_id"]: r["event_id"] for r in linked.collect()} == {1: 3, 2: None, 3: None}
+    assert streams.link_batch(late.where("is_baseline"), schedule).collect()[0]["event_id"] is None
+
+
+def test_later_changes_of_the_schedule_count(spark, tmp_path):
+    path = str(tmp_path / "schedule")
+    events(spark, [event(1)]).write.parquet(path)
+    seen = []
+
+    def schedule():
+        if seen:
+            events(spark, [event(2, sec=20 * 3600)]).write.mode("append").parquet(path)
+        seen.append(1)
+        return spark.read.parquet(path)
+
+    stream = arrivals(spark, tmp_path / "in", meas(spark, [probe(1, 120)]), meas(spark, [probe(2, 120)]))
+    streams.stream_link_events(stream, schedule, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert {r["measurement_id"]: r["event_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {1: 1, 2: 2}
+
+
+def test_one_parse_serves_all_kinds(spark):
+    raw = spark.createDataFrame([(1, datetime(2024, 1, 3, 8), "flow", "{}", 35.0, -106.0)], "measurement_id BIGINT, measurement_time TIMESTAMP_NTZ, payload_kind STRING, payload STRING, origin_lat DOUBLE, origin_lng DOUBLE")
+    rows = streams.parse_probes(raw.selectExpr("*", "true AS is_baseline", "'weekly' AS baseline_type"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # the filter on usable answers and the answer itself
+    assert plan.lower().count("from_json(") <= 2 or plan.count("from_json") <= 2
