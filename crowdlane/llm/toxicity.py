@@ -205,7 +205,9 @@ def _train(texts: list[bytes], y: np.ndarray, steps: int, batch: int, seed: int)
         for p, g, m, v in zip(net, grads, first, second, strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+            # words seen seldom move little, so that what one document says by chance is not learnt
+            slow = 1e-3 if p is net.own else 1e-6
+            p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + slow)
         net.own[:] *= 1 - 0.1 * rate
     return net
 
