@@ -97,92 +97,105 @@ def fingerprints(docs: DataFrame, low: float = 3.0, high: float = 7.0, short: in
     A text without terms has the fingerprint of no terms. Other columns are ignored.
     """
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    base = base.withColumn("n", F.length("text"))
     lex = store(lexicon(base, low, high), "lexicon")
     small = lex.count() <= BROADCAST_TERMS
-    ring = store(_following(base.select("doc_id", "n")), "ring")
-    # the texts move once: both sides below read the same exchange
-    there = base.join(ring.withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("id"), "left")
-    tails = (
-        there.where("prev_id is not null")
-        .groupBy("prev_id")
-        .agg(F.min(F.expr("substring(text, 1, cast(prev_n div 4 as int))")).alias("tail"))
+    ring = store(_following(base.select("doc_id", F.length("text").alias("n"))), "ring").withColumnRenamed("doc_id", "id")
+    # The texts move once: every doc_id is in the ring, and has a document before it, so that all joins are
+    # inner, and both sides read the texts by one exchange. Only the beginnings move on, to the document before.
+    there = base.where("doc_id is not null").join(ring, F.col("doc_id") == F.col("id"))
+    tails = there.groupBy(F.col("prev_id").alias("of")).agg(
+        F.min(F.expr("substring(text, 1, cast(prev_n div 4 as int))")).alias("tail")
     )
-    pairs = there.select("doc_id", "text", "n", "next_id").join(tails, F.col("doc_id") == F.col("prev_id"), "left")
-    quarter = "cast(n div 4 as int)"
-    edited = F.expr(f"if(next_id is null, text, concat(substring(text, 1, n - {quarter}), substring(tail, 1, {quarter})))")
-    rows = pairs.withColumn("edited", edited)
+    quarter = "cast(length(text) div 4 as int)"
+    edited = F.expr(f"concat(substring(text, 1, length(text) - {quarter}), substring(tail, 1, {quarter}))")
+    pairs = there.join(tails, F.col("doc_id") == F.col("of")).select("doc_id", "text", "next_id", edited.alias("edited"))
+    alone = base.where("doc_id is null")
+    alone = alone.select("doc_id", "text", F.lit(None).cast(base.schema["doc_id"].dataType).alias("next_id"), F.col("text").alias("edited"))
+    marks = _marks(pairs, lex, small, short).union(_marks(alone, lex, small, short))
+    marks = store(marks, "marks")
+    following = marks.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("th", "own")).alias("least"))
+    following = following.select(F.bitwise_not(F.bitwise_not("doc_id")).alias("following_id"), F.col("least.own").alias("nxt"))
+    joined = marks.join(following, F.col("about.next_id") == F.col("following_id"), "left")
+    return joined.select(
+        "doc_id",
+        F.col("about.n").cast("bigint").alias("n_chars"),
+        F.col("about.sha").alias("edited_sha256"),
+        _text("own").alias("fingerprint"),
+        _text("ed").alias("edited_fingerprint"),
+        likeness("own", "ed").alias("near_edited"),
+        F.when(F.col("nxt").isNull(), 0.0).otherwise(likeness("own", "nxt")).alias("near_next"),
+        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
+    ).drop("copy")
+
+
+def _marks(rows: DataFrame, lex: DataFrame, small: bool, short: int) -> DataFrame:
+    """doc_id, th, about, copies, own, ed: the signatures of each text and its edited text, copies of a row once."""
+    # one number for a term and its text: the lowest bit is 0 in the text's terms, 1 in the edited text's
     found = (
         rows.select(
             "doc_id",
             F.xxhash64("text").alias("th"),
-            F.struct("n", F.sha2(F.col("edited").cast("binary"), 256).alias("sha"), "next_id").alias("about"),
-            (F.col("n") < short).alias("all0"),
+            F.struct(F.length("text").alias("n"), F.sha2(F.col("edited").cast("binary"), 256).alias("sha"), "next_id").alias("about"),
+            (F.length("text") < short).alias("all0"),
             (F.length("edited") < short).alias("all1"),
             terms(F.col("text")).alias("t0"),
             terms(F.col("edited")).alias("t1"),
         )
         .withColumn(
             "x",
-            # a row for the document itself, w = 2, and one per term of either text
+            # a row without a term for the document itself
             F.explode_outer(
                 F.expr(
-                    """concat(array(named_struct('w', 2, 't', 0L)), transform(t0, t -> named_struct('w', 0, 't', t)),
-                              transform(t1, t -> named_struct('w', 1, 't', t)))"""
+                    """concat(array(named_struct('t', cast(null as bigint), 'side', 2)),
+                              transform(t0, t -> named_struct('t', t, 'side', if(all0, -2, 0))),
+                              transform(t1, t -> named_struct('t', t, 'side', if(all1, -1, 1))))"""
                 )
             ),
         )
-        .selectExpr(
-            "doc_id", "th", "if(x.w = 2, about, null) as about", "x.w", "x.t",
-            "case x.w when 0 then all0 when 1 then all1 else true end as all",
-        )
+        .selectExpr("doc_id", "th", "if(x.side = 2, about, null) as about", "x.t", "x.side")
     )
     lex = lex.withColumnRenamed("term", "in_band")
     kept = found.join(F.broadcast(lex) if small else lex, F.col("t") == F.col("in_band"), "left").where(
-        "in_band is not null or all"
+        "in_band is not null or side < 0 or side = 2"
     )
-    marks = (
-        kept.groupBy("doc_id", "th")
-        .agg(
-            F.max("about").alias("about"),
-            F.sum(F.expr("if(w = 2, 1L, 0L)")).alias("copies"),
-            F.collect_set(F.when(F.col("w") == 0, F.col("t"))).alias("t0"),
-            F.collect_set(F.when(F.col("w") == 1, F.col("t"))).alias("t1"),
-        )
-        .select("doc_id", "th", "about", "copies", _signature("t0").alias("own"), _signature("t1").alias("ed"))
+    groups = kept.groupBy("doc_id", "th").agg(
+        F.max("about").alias("about"),
+        F.sum(F.expr("if(side = 2, 1L, 0L)")).alias("copies"),
+        F.collect_set(F.expr("(t & -2L) | (side & 1)")).alias("both"),
     )
-    marks = store(marks, "marks")
-    following = marks.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("th", "own")).alias("least"))
-    following = following.select(F.bitwise_not(F.bitwise_not("doc_id")).alias("following_id"), F.col("least.own").alias("nxt"))
-    joined = marks.join(following, F.col("about.next_id") == F.col("following_id"), "left")
-    return joined.select(
+    return groups.select(
         "doc_id",
-        F.col("about.n").cast("bigint").alias("n_chars"),
-        F.col("about.sha").alias("edited_sha256"),
-        _text("own").alias("fingerprint"),
-        _text("ed").alias("edited_fingerprint"),
-        likeness("own", "ed").alias("near_edited"),
-        F.when(F.col("nxt").isNull(), 0.0).otherwise(likeness("own", "nxt")).alias("near_next"),
-        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
-    ).drop("copy")
+        "th",
+        "about",
+        "copies",
+        _signature("filter(both, x -> x & 1 = 0)").alias("own"),
+        _signature("transform(filter(both, x -> x & 1 = 1), x -> x & -2L)").alias("ed"),
+    )
 
 
 def _signature(kept: str) -> Column:
-    """whole: hash of all sorted terms; entries: per level and subset with terms, its hash."""
-    # sorted by subset, then by term: a subset's terms are neighbours, and its hash is a running one
-    items = f"""array_sort(flatten(transform(sequence(0, {LEVELS - 1}), l -> filter(
-        transform({kept}, t -> named_struct(
-            's', {SUBSETS} * l + int(pmod(xxhash64(t, l), shiftleft({SUBSETS}, 2 * l))), 't', t)),
-        x -> x.s < {SUBSETS} * (l + 1)))))"""
-    code = "array(shiftleft(a.s, 16) + int(a.h & 65535))"
+    """whole: hash of all sorted terms; entries: per level and subset with terms, the hash of its sorted terms.
+
+    Terms are hashes themselves, so bits of their own decide by chance which subset of a level holds
+    them. Subset and term make one number; in order, a subset's terms are neighbours, and its hash is a running one.
+    """
+    codes, shift = [], 1  # bit 0 tells the sides apart
+    for level in range(LEVELS):
+        held = f"filter(k, t -> (shiftright(t, {shift}) & {SUBSETS * 4**level - 1}) < {SUBSETS})" if level else "k"
+        subset = f"{SUBSETS * level} + (shiftright(t, {shift}) & {SUBSETS - 1})"
+        codes.append(f"transform({held}, t -> shiftleft({subset}, 56) | shiftrightunsigned(t, 8))")
+        shift += 5 + 2 * level
+    items = f"sort_array(concat({', '.join(codes)}))"
+    code = "array(int(shiftleft(a.s, 16) | (a.h & 65535)))"
     entries = f"""aggregate({items},
-        named_struct('out', cast(array() as array<int>), 's', -1, 'h', 0L),
-        (a, x) -> named_struct(
-            'out', if(a.s = x.s or a.s < 0, a.out, concat(a.out, {code})),
-            's', x.s,
-            'h', xxhash64(if(a.s = x.s, a.h, 0L), x.t)),
+        named_struct('out', cast(array() as array<int>), 's', -1L, 'h', 0L),
+        (a, x) -> if(shiftright(x, 56) = a.s,
+            named_struct('out', a.out, 's', a.s, 'h', xxhash64(a.h, x)),
+            named_struct('out', if(a.s < 0, a.out, concat(a.out, {code})), 's', shiftright(x, 56), 'h', xxhash64(0L, x))),
         a -> if(a.s < 0, a.out, concat(a.out, {code})))"""
-    return F.struct(F.xxhash64(F.array_sort(kept)).alias("whole"), F.expr(entries).alias("entries"))
+    # the lambda's argument holds the terms, so that they are formed once
+    made = f"named_struct('whole', xxhash64(sort_array(k)), 'entries', {entries})"
+    return F.expr(f"transform(array({kept}), k -> {made})[0]")
 
 
 def _text(mark: str) -> Column:
