@@ -89,6 +89,13 @@ def seeds(templates: Sequence[tuple[str, str]], least: float) -> str | None:
     return f"(?<![a-z0-9])(?:{ways})(?![a-z0-9])"
 
 
+def candidates(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = 0.8) -> DataFrame:
+    """doc_id, text of the rows in which a notice can be: those that hold a bigram of :func:`seeds`. Null texts are none."""
+    pattern = seeds(templates, least)
+    hit = F.lower("text").rlike(pattern) if pattern else F.lit(False)
+    return docs.select("doc_id", "text").where(F.col("text").isNotNull() & hit)
+
+
 def scan_licenses(
     docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = 0.8
 ) -> DataFrame:
@@ -116,10 +123,9 @@ def _units(docs: DataFrame, templates: Sequence[tuple[str, str]], least: float)
     sizes = [r[0] for r in known.select("n_template").distinct().collect()]
     ratio = (2 - least) / least * (1 + 1e-9)  # 1.2 / 0.8 is a little less than 1.5
     pattern = seeds(templates, least)
-    hit = F.lower("text").rlike(pattern) if pattern else F.lit(False)
     lines = F.split("text", "\n")
     # outer: explode would evaluate its array a second time, to see whether it is empty
-    units = docs.where(F.col("text").isNotNull() & hit).select(
+    units = candidates(docs, templates, least).select(
         "doc_id",
         F.posexplode_outer(F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.array("text"))),
     )
@@ -162,6 +168,10 @@ def scan_windows(
     are compared with it; a stretch that matches best without these ends is no match better. Of
     stretches that overlap the best counts, then the first; line_no is where it begins. Stretches that lie in a line that
     matches a template are left out, and those that meet a line, or a whole text, that matches the same one.
+
+    Null, empty and one-word texts have no stretch. Rows that repeat doc_id and text count once; rows of one doc_id
+    with different texts, or without doc_id, give theirs each. Other columns are ignored. The work on a
+    text grows with its length times the square of the greatest template's.
     """
     pattern = seeds(templates, least)
     if not pattern:
@@ -173,38 +183,40 @@ def scan_windows(
         pairs = sorted({" ".join(x) for x in zip(words, words[1:])})
         if pairs:
             need, most = max(1, math.ceil(len(pairs) / ratio)), int(len(pairs) * ratio)
-            known.append((F.lit(name), F.array(*map(F.lit, pairs)), F.lit(need), F.lit(most)))
-    known = F.array(*(F.struct(*(c.alias(n) for c, n in zip(x, ("license", "pairs", "need", "most")))) for x in known))
-    texts = docs.where(F.col("text").isNotNull() & F.lower("text").rlike(pattern)).select("doc_id", "text").distinct()
+            known.append((name, pairs, need, most))
+    wanted = ", ".join(f"'{x}'" for x in sorted({x for k in known for x in k[1]}))
+    known = F.array(
+        *(F.struct(*(F.lit(v).alias(n) for v, n in zip(k, ("license", "pairs", "need", "most")))) for k in known)
+    )
     words = F.expr(
         """filter(flatten(transform(split(text, '\\n'), (l, i) ->
             transform(split(lower(l), '[^a-z0-9]+'), w -> named_struct('w', w, 'line', i)))), x -> x.w <> '')"""
     )
-    pairs = F.expr(
-        """transform(sequence(0, size(w) - 2), i -> named_struct(
-            'at', i, 'pair', concat(w[i].w, ' ', w[i + 1].w), 'first', w[i].line, 'last', w[i + 1].line))"""
-    )
-    each = texts.withColumn("w", words).where("size(w) > 1").select("doc_id", "text", pairs.alias("p"), F.explode(known).alias("k"))
-    each = each.withColumn("m", F.expr("filter(p, x -> array_contains(k.pairs, x.pair))")).where("size(m) >= k.need")
-    tried = F.expr(
-        """flatten(transform(sequence(0, size(m) - k.need), i -> transform(
-            filter(sequence(i + k.need - 1, least(size(m), i + k.most) - 1), j -> m[j].at - m[i].at < k.most),
-            j -> named_struct('a', m[i].at, 'b', m[j].at, 'first', m[i].first, 'last', m[j].last,
-                'common', size(array_distinct(transform(slice(m, i + 1, j - i + 1), x -> x.pair))),
-                'n', size(array_distinct(transform(slice(p, m[i].at + 1, m[j].at - m[i].at + 1), x -> x.pair)))))))"""
-    )
-    scored = F.expr(
-        f"""array_sort(filter(transform(tried, x -> named_struct(
-            'worse', -2 * x.common / (x.n + size(k.pairs)), 'a', x.a, 'b', x.b, 'first', x.first, 'last', x.last, 'n', x.n)),
-            x -> -x.worse >= {least}D))"""
-    )
-    apart = F.expr(
-        """aggregate(scored, slice(scored, 1, 0),
-            (had, x) -> if(exists(had, y -> x.a <= y.b and y.a <= x.b), had, concat(had, array(x))))"""
-    )
-    found = each.withColumn("tried", tried).withColumn("scored", scored).where("size(scored) > 0")
-    found = found.select("doc_id", "text", F.col("k.license").alias("license"), F.explode(apart).alias("x"))
-    found = found.select("doc_id", "text", "license", "x.first", "x.last", (-F.col("x.worse")).alias("dice"), F.col("x.n").alias("n_bigrams"))
+    # Every step is a lambda's argument, so that it is computed once; no filter stands between them, as one would be
+    # pushed below them with copies of their expressions. Empty arrays end in the explode.
+    pairs = """if(size(w) < 2, array(), transform(sequence(0, size(w) - 2), i -> named_struct(
+        'at', i, 'pair', concat(w[i].w, ' ', w[i + 1].w), 'first', w[i].line, 'last', w[i + 1].line)))"""
+    matches = f"filter(p, x -> x.pair in ({wanted}))"
+    own = "filter(every, x -> array_contains(k.pairs, x.pair))"
+    # stretches from one match to another, short enough, with as many distinct common bigrams as a match needs
+    stretches = """if(size(m) < k.need, array(), flatten(transform(sequence(0, size(m) - k.need), i -> filter(transform(
+        filter(sequence(i + k.need - 1, least(size(m), i + k.most) - 1), j -> m[j].at - m[i].at < k.most),
+        j -> named_struct('i', i, 'j', j, 'common', size(array_distinct(transform(slice(m, i + 1, j - i + 1), x -> x.pair))))),
+        x -> x.common >= k.need))))"""
+    sized = f"""transform({stretches}, x -> named_struct('a', m[x.i].at, 'b', m[x.j].at, 'first', m[x.i].first, 'last', m[x.j].last,
+        'common', x.common, 'n', size(array_distinct(transform(slice(p, m[x.i].at + 1, m[x.j].at - m[x.i].at + 1), y -> y.pair)))))"""
+    scored = f"""array_sort(filter(transform({sized}, x -> named_struct('worse', -2 * x.common / (x.n + size(k.pairs)),
+        'a', x.a, 'b', x.b, 'first', x.first, 'last', x.last, 'n', x.n)), x -> -x.worse >= {least}D))"""
+    apart = f"""transform(array({scored}), s -> aggregate(s, slice(s, 1, 0),
+        (had, x) -> if(exists(had, y -> x.a <= y.b and y.a <= x.b), had, concat(had, array(x)))))[0]"""
+    each = f"""transform(known, k -> transform(array({own}), m ->
+        transform({apart}, x -> named_struct('license', k.license, 'x', x)))[0])"""
+    notices = f"""flatten(flatten(transform(array({pairs}), p -> transform(array({matches}), every -> {each})[0])))"""
+    texts = candidates(docs, templates, least).select("doc_id", "text", words.alias("w"), known.alias("known"))
+    found = texts.select("doc_id", "text", F.explode_outer(F.expr(notices)).alias("f")).where("f is not null")
+    found = found.select(
+        "doc_id", "text", "f.license", "f.x.first", "f.x.last", (-F.col("f.x.worse")).alias("dice"), F.col("f.x.n").alias("n_bigrams")
+    ).distinct()
     found = store(found, "notices")  # few rows, read three times
     # the lines and texts that match by themselves, of the texts in question
     id_of, unit = F.struct("doc_id", F.xxhash64("text").alias("th")), F.expr("if(unit_no < 0, text, split(text, '\\n')[unit_no])")

@@ -71,7 +71,7 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines and whole texts, and the notices that stand across or within lines."""
-    docs = read(spark, sf_dir, "documents")
+    docs = store(license_scan.candidates(read(spark, sf_dir, "documents")), "candidates")  # few rows, read twice
     return license_scan.scan_licenses(docs).union(license_scan.scan_windows(docs))
 
 
