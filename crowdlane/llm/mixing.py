@@ -106,7 +106,7 @@ def fit(size: np.ndarray, count: np.ndarray, budget: int) -> np.ndarray:
 def mix_sources(
     docs: DataFrame, weights: Sequence[float] = (5, 2, 1), limit: int = 3, seed: int = 0
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken of every row of ``docs`` (doc_id, text, source).
+    """doc_id, size, source_size, target, taken, source, copies of every row of ``docs`` (doc_id, text, source).
 
     ``size`` is the number of words; null and blank texts have 0 and are taken 0 words.
     ``copies`` (0 to ``limit``) says how often the mix takes the row, ``taken`` is copies * size.
@@ -168,10 +168,10 @@ def mix_sources(
     chosen = whole.union(rest).union(part)
     return chosen.join(sources.withColumnRenamed("src", "s"), F.expr("src <=> s")).selectExpr(
         "doc_id",
-        "src as source",
         "size",
         "source_size",
         "target",
-        "if(size = 0, 0, whole + extra) as copies",
         "size * (whole + extra) as taken",
+        "src as source",
+        "if(size = 0, 0, whole + extra) as copies",
     )

@@ -30,10 +30,10 @@ def _remainder(n: int) -> Column:
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Learnt from documents whose crc32(doc_id) mod 5 is not 0; the others are held out."""
+    """Learnt from documents whose crc32(doc_id) mod 5 is not 0; the others are held out. A null doc_id is not."""
     docs = read(spark, sf_dir, "documents")
     found = identify_languages(docs, train(docs.where(_remainder(5) != 0)))
-    return found.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,10 +55,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Learnt from labels whose crc32(doc_id) mod 3 is not 1; the others are held out."""
+    """Learnt from labels whose crc32(doc_id) mod 3 is not 1; the others are held out. A null doc_id is not."""
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
     found = score_quality(read(spark, sf_dir, "documents"), labels.where(_remainder(3) != 1))
-    return found.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", "predicted")
+    return found.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,19 @@
 """The corpus operators on hand-made tables and against brute force on the small tables."""
 
+import functools
 import hashlib
+import math
 import pathlib
 import random
 import re
+import struct
 import sys
 import zlib
+from collections import Counter
 
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[2]))
@@ -130,6 +136,70 @@ def test_fingerprints(small):
     assert sum(near) / len(near) > 0.4 > 0.1 > sum(r.near_next for r in got.values()) / len(near)
 
 
+def test_fingerprints_equal_plain_python(small):
+    """Terms, band, subsets, hashes and likeness against a plain version with the same 64-bit hash."""
+
+    def chain(values, seed=42):
+        for v in values:
+            seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q", v), seed & (2**64 - 1))
+        return seed - 2**64 if seed >> 63 else seed
+
+    def words(text):
+        return {chain([w]) for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
+
+    rows = sorted((r.doc_id, r.text or "") for r in small.collect())
+    df = Counter(t for _, text in rows for t in words(text))
+    band = {t for t, n in df.items() if len(rows) / math.exp(7) <= n <= len(rows) / math.exp(3)}
+
+    def mark(text):
+        kept = sorted({t & -2 for t in words(text) if len(text) < 400 or t in band})
+        subsets = {}
+        for level, shift in enumerate((1, 6, 13, 22)):
+            for t in kept:
+                if not level or (t >> shift) & (32 * 4**level - 1) < 32:
+                    s = 32 * level + ((t >> shift) & 31)
+                    subsets.setdefault(s, []).append(s << 56 | (t & (2**64 - 1)) >> 8)
+        running = lambda codes: functools.reduce(lambda h, x: chain([h, x]), sorted(codes), 0)
+        return chain(kept), {s: running(x) & 65535 for s, x in subsets.items()}
+
+    def shown(m):
+        return f"{m[0] & (2**64 - 1):016x}:" + "".join(f"{s << 16 | h:06x}" for s, h in sorted(m[1].items()))
+
+    def like(a, b):
+        shares = [0.0]
+        for level in range(4):
+            held = [s for s in a[1].keys() | b[1].keys() if s // 32 == level]
+            if len(held) >= (4 if level else 1):
+                shares.append(sum(a[1].get(s) == b[1].get(s) for s in held) / len(held))
+        return 1.0 if a[0] == b[0] else max(shares)
+
+    got = {r.doc_id: r for r in fingerprints(small).collect()}
+    for k, (i, text) in enumerate(rows):
+        after, cut = rows[(k + 1) % len(rows)][1], len(text) // 4
+        own, edited, following = mark(text), mark(text[: len(text) - cut] + after[:cut]), mark(after)
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (shown(own), shown(edited)), i
+        assert got[i].near_edited == pytest.approx(like(own, edited)) and got[i].near_next == pytest.approx(like(own, following))
+
+
+def test_fingerprints_move_texts_once(spark, small):
+    """One exchange of the texts, read by both sides of the join with the next document's beginning."""
+    from crowdlane.llm import imatch
+
+    frames = []
+    marks = imatch._marks
+    imatch._marks = lambda rows, *a: frames.append(rows) or marks(rows, *a)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        imatch.fingerprints(small)
+        frames[0].collect()
+        plan = frames[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        imatch._marks = marks
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "ReusedExchange" in plan.split("== Initial Plan ==")[0]
+
+
 def test_fingerprints_odd_rows(odd, empty):
     got = fingerprints(odd).collect()
     assert len(got) == len(ODD)
@@ -290,6 +360,37 @@ def test_licenses_across_and_within_lines(spark, odd, empty):
     assert scan_windows(odd).count() == 0 and scan_windows(empty).count() == 0
 
 
+def test_license_stretches_equal_brute_force(spark):
+    """The best coefficient of each notice edited and set into other words, against all stretches of words."""
+    rng = random.Random(8)
+    split = lambda text: [w for w in re.split("[^a-z0-9]+", text.lower()) if w]
+    texts = []
+    for _, text in TEMPLATES:
+        for _ in range(4):
+            words = text.split()
+            for _ in range(rng.randrange(1 + len(words) // 7)):
+                words[rng.randrange(len(words))] = rng.choice(["the", "such", "License,", ""])
+            words.insert(rng.randrange(len(words)), "\n")
+            texts.append(f"{sentence(90, len(texts))} {' '.join(words)} {sentence(90, 500 + len(texts))}")
+    wanted = {}
+    for i, text in enumerate(texts):
+        words = split(text)
+        pairs = list(zip(words, words[1:]))
+        for name, template in TEMPLATES:
+            known = set(zip(split(template), split(template)[1:]))
+            best = 0
+            for a in (k for k, p in enumerate(pairs) if p in known):
+                for b in range(a + 1, min(len(pairs), a + int(1.5 * len(known) + 1e-6)) + 1):
+                    own = set(pairs[a:b])
+                    best = max(best, 2 * len(own & known) / (len(own) + len(known)))
+            if best >= 0.8:
+                wanted[i, name] = best
+    got = {}
+    for r in scan_windows(docs(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect():
+        got[r.doc_id, r.license] = max(r.dice, got.get((r.doc_id, r.license), 0))
+    assert got == pytest.approx(wanted) and 20 < len(wanted)
+
+
 def test_licenses_equal_brute_force(spark):
     rng = random.Random(5)
     pairs = lambda words: set(zip(words, words[1:]))
