@@ -237,11 +237,56 @@ def test_lines(spark, odd, empty):
     got = repeated_lines(
         docs(spark, [(1, f"{line}\nshort one\n{far}", "a"), (2, f"short one\n{near.upper()}!\n{far}", "a")])
     ).collect()
-    assert sorted((r.doc_id, r.line_no, r.kept_doc_id, r.kept_line_no) for r in got) == [(2, 1, 1, 0), (2, 2, 1, 2)]
+    # equal lines of two words repeat like all others
+    assert sorted((r.doc_id, r.line_no, r.kept_doc_id, r.kept_line_no) for r in got) == [(2, 0, 1, 1), (2, 1, 1, 0), (2, 2, 1, 2)]
     assert {(r.doc_id, r.kept_doc_id) for r in repeated_lines(odd).collect()} == {(6, 5)}
     assert repeated_lines(empty).count() == 0
 
 
+def test_short_lines_repeat_only_if_equal(spark):
+    rows = [(1, "All rights reserved.\n全部人人生而自由\none two three four", "a"), (2, "all rights reserved\nAll rights\n--- !", "a")]
+    rows += [(3, "全部人人生而自由\none two nine ten\n--- !\n\n", "a"), (4, "one two three four five", "b")]
+    got = {(r.doc_id, r.line_no, r.kept_doc_id, r.kept_line_no) for r in repeated_lines(docs(spark, rows)).collect()}
+    assert got == {(2, 0, 1, 0), (3, 0, 1, 1), (4, 0, 1, 2)}
+
+
+def _plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_lines_against_brute_force(spark):
+    """Pairs at a similarity of exactly 0.8 and above are found, those below it are not."""
+    rng, rows, wanted = random.Random(3), [], []
+    letters = "abcdefghijklmnop"
+    vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(4000)]
+    sizes = [(5, 1), (6, 1), (10, 1), (10, 2), (15, 3), (20, 1), (20, 2), (20, 4), (40, 8), (300, 60)]
+    for n, edits in sizes + [(10, 3), (20, 6), (40, 11)]:
+        for _ in range(40):
+            one = [rng.choice(vocabulary) for _ in range(n)]
+            other = list(one)
+            for at in rng.sample(range(n), edits):
+                kind = rng.random()
+                other[at] = [rng.choice(vocabulary)] if kind < 0.6 else [] if kind < 0.8 else [other[at], rng.choice(vocabulary)]
+            other = [y for x in other for y in (x if isinstance(x, list) else [x])]
+            near = _plain_distance(one, other) <= 0.2 * max(len(one), len(other)) + 1e-9
+            wanted.append((2 * len(wanted), n, edits, near))
+            rows += [(wanted[-1][0], " ".join(one), "a"), (wanted[-1][0] + 1, " ".join(other), "a")]
+    got = {r.doc_id: r.kept_doc_id for r in repeated_lines(docs(spark, rows)).collect()}
+    assert all(kept == doc - 1 for doc, kept in got.items())
+    assert not [i for i, _, _, near in wanted if i + 1 in got and not near]
+    found = Counter()
+    for i, n, edits, near in wanted:
+        found[n, edits, "all"] += near
+        found[n, edits, "found"] += near and i + 1 in got
+    for n, edits in sizes:
+        assert found[n, edits, "found"] >= 0.9 * found[n, edits, "all"] > 0, (n, edits, found)
+
+
 def test_edit_distance():
     assert edit_distance("kitten", "sitting") == 3 and edit_distance("", "abc") == 3
     assert edit_distance([1, 2, 3, 4], [2, 3, 5, 4]) == 2
