@@ -287,6 +287,25 @@ def test_lines_against_brute_force(spark):
         assert found[n, edits, "found"] >= 0.9 * found[n, edits, "all"] > 0, (n, edits, found)
 
 
+def test_no_line_at_the_limit_is_missed(spark):
+    """Every pair whose words differ in as many places as a link allows is found, however the edits lie."""
+    rng, rows, near = random.Random(11), [], set()
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 9))) for _ in range(6000)]
+    # the longer line has n words
+    sizes = [(n, n // 5) for n in (5, 6, 9, 10, 13, 15, 20, 25, 40, 100, 300) for _ in range(90)]
+    for number, (n, edits) in enumerate(sizes):
+        one, kind = [rng.choice(vocabulary) for _ in range(n)], number % 3
+        # replaced, taken out, or both; even steps leave the shortest runs
+        places = [round((i + 1) * (n - edits) / (edits + 1)) + i for i in range(edits)] if number % 2 else rng.sample(range(n), edits)
+        other = [None if kind == 1 or kind == 2 and i % 2 else rng.choice(vocabulary) for i in range(n)]
+        other = [x for x in (other[i] if i in places else one[i] for i in range(n)) if x]
+        if _plain_distance(one, other) <= 0.2 * n + 1e-9:
+            near.add(2 * number + 1)
+        rows += [(2 * number, " ".join(one), "a"), (2 * number + 1, " ".join(other), "a")]
+    got = {r.doc_id: r.kept_doc_id for r in repeated_lines(docs(spark, rows)).collect()}
+    assert len(near) > 900 and got == {i: i - 1 for i in near}
+
+
 def test_edit_distance():
     assert edit_distance("kitten", "sitting") == 3 and edit_distance("", "abc") == 3
     assert edit_distance([1, 2, 3, 4], [2, 3, 5, 4]) == 2
