@@ -306,6 +306,22 @@ def test_no_line_at_the_limit_is_missed(spark):
     assert len(near) > 900 and got == {i: i - 1 for i in near}
 
 
+def test_pipeline_drops_every_line_at_the_limit(spark):
+    """A line of 25 words that differs in five, so that no longer run is left, goes, whatever its SimHash."""
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(5000)]
+    rows = []
+    for i in range(300):
+        one = [rng.choice(words) for _ in range(25)]
+        other = [rng.choice(words) if at % 4 == 3 and at < 20 else x for at, x in enumerate(one)]
+        rows += [(2 * i, " ".join(one), "a"), (2 * i + 1, " ".join(other), "a")]
+    table = docs(spark, rows).withColumn("n_chars", F.length("text").cast("bigint"))
+    kept = corpus_pipeline.line_dedup(spark, table, "").select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(0, 600, 2))
+
+
 def test_edit_distance():
     assert edit_distance("kitten", "sitting") == 3 and edit_distance("", "abc") == 3
     assert edit_distance([1, 2, 3, 4], [2, 3, 5, 4]) == 2
