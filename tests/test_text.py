@@ -194,3 +194,28 @@ def test_calls_of_any_provider_count(spark):
     got = usage_7day_pivot(meas(spark, rows), "2024-01-05 00:00:00").collect()
     assert [(r["tomtom"], r["other_calls"], r["total_calls"]) for r in got] == [(0, 2, 2), (1, 1, 2), (1, 3, 4)]
     assert got[2]["avg_per_day"] == 4 / 7
+
+
+def test_plain_pages_need_no_tolerant_reader(monkeypatch):
+    import html.parser
+
+    import pyarrow as pa
+
+    plain = [
+        HTML,
+        "<!DOCTYPE html><title>x</title><script>if (a<b) x='<li data-name=host>'</script><!-- <h1>no</h1> --><H1/>"
+        "<ul class=detail-info><LI data-name=host>a<li data-name=\"location\"><SPAN class='info-list-value'>A<br>B &amp <b>C</b></span></LI></ul>",
+        "<ul class=detail-info></ul><h1>T</h1><li data-name=host><span class=info-list-value>after</span>",
+    ]
+    odd = [p + "<p <b>" for p in plain[1:]] + [plain[1].replace("</title>", "</title>< <b a='>'>"), plain[2].replace(">T<", ">T<!-- a--b -->U<")]
+    tolerant = html.parser.HTMLParser.feed
+    calls = []
+    monkeypatch.setattr(html.parser.HTMLParser, "feed", lambda self, data: (calls.append(data), tolerant(self, data))[1])
+    read = pages._reader(pages.FIELDS)
+    got = read(pa.array([*plain, None])).to_pylist()
+    assert calls == []
+    assert [r["title"] for r in got] == ["Jazz & BluesNight– 2 'aé $1 &lt;", "", "T", None]
+    assert (got[1]["location"], got[1]["host"], got[2]["host"]) == ("AB &C", "AB &C", None)
+    # markup that leaves a doubt goes through the tolerant reader, with the same rules
+    assert [r["location"] for r in read(pa.array(odd)).to_pylist()] == ["AB &C", None, "AB &C", None]
+    assert len(calls) == 2  # what stands behind the heading and the list is not asked for
