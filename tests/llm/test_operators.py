@@ -526,3 +526,22 @@ def test_query_equals_sql(spark, name):
 
     got = queries.QUERIES[name](spark, SF).toArrow()
     assert compare(got, connect(SF).execute(queries.ORACLES[name]).to_arrow_table()) == "ok"
+
+
+def test_words_are_hashed_a_block_at_a_time(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from crowdlane.llm import words as wd
+
+    texts = ["", None, "A b\tc\r\nA", " \n", "é ü", "w " * 300, None, "same words, same hash"]
+    whole = [wd.words(p.data, p.offs) for p in wd.slices([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])]
+    monkeypatch.setattr(wd, "BLOCK", 5)
+    (part,) = wd.slices([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])
+    got = wd.words(part.data, part.offs)
+    assert len(whole) == 1 and all(np.array_equal(x, y) for x, y in zip(got, whole[0], strict=True))
+    said = [part.data[a:b].tobytes().decode() for a, b in zip(got.start, got.end, strict=True)]
+    assert said == " ".join(t or "" for t in texts).split()
+    assert got.text.tolist() == [2, 2, 2, 2, 4, 4] + [5] * 300 + [7] * 4 and got.first.tolist() == [0, 0, 0, 4, 4, 6, 306, 306, 310]
+    assert got.hash[0] == got.hash[3] and len(set(got.hash[-4:].tolist())) == 4
+    assert got.hash[-4] == wd.words(np.frombuffer(b"same", np.uint8), np.array([0, 4])).hash[0]
