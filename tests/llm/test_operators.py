@@ -543,5 +543,5 @@ def test_words_are_hashed_a_block_at_a_time(monkeypatch):
     said = [part.data[a:b].tobytes().decode() for a, b in zip(got.start, got.end, strict=True)]
     assert said == " ".join(t or "" for t in texts).split()
     assert got.text.tolist() == [2, 2, 2, 2, 4, 4] + [5] * 300 + [7] * 4 and got.first.tolist() == [0, 0, 0, 4, 4, 6, 306, 306, 310]
-    assert got.hash[0] == got.hash[3] and len(set(got.hash[-4:].tolist())) == 4
+    assert got.hash[0] == got.hash[3] and len(set(got.hash[-4:].tolist())) == 3
     assert got.hash[-4] == wd.words(np.frombuffer(b"same", np.uint8), np.array([0, 4])).hash[0]
