@@ -111,7 +111,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, k: int = 4, least: float = 0.5
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from sieve.pass_on(batches)
 
+    # each step in Python is a stage of its own: a task holds one worker then, not three
     texts = docs.mapInArrow(passed, "id bigint, text string").join(rows.selectExpr("~~id as id", "wanted"), "id")
+    texts = store(texts.select("id", "text", "wanted"), "texts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in wd.slices(batches):
@@ -130,7 +132,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, k: int = 4, least: float = 0.5
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["id", "item_id", "low", "words"]
             )
 
-    pieces = texts.select("id", "text", "wanted").mapInArrow(cut, "id bigint, item_id bigint, low int, words binary")
+    pieces = store(texts.mapInArrow(cut, "id bigint, item_id bigint, low int, words binary"), "pieces")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in wd.slices(batches):

@@ -359,6 +359,33 @@ def test_edited_leaks_beside_a_verbatim_one(spark):
     assert set(got) == {0, 1, 2, 3} and got[0] == 1 and all(0.65 < got[i] < 0.75 for i in (1, 2, 3))
 
 
+def python_steps(df):
+    """The most steps in Python that one task of a plan goes through: each has a worker of its own."""
+
+    def most(node):
+        """Of the stage that ``node`` ends, and of all stages below it."""
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.initialPlan()
+        below = [most(node.children().apply(i)) for i in range(node.children().size())]
+        here, all_ = (max((x[k] for x in below), default=0) for k in (0, 1))
+        here += "Arrow" in node.nodeName() or "Python" in node.nodeName()
+        return (0 if "Exchange" in node.nodeName() else here), max(here, all_)
+
+    return most(df._jdf.queryExecution().executedPlan())[1]
+
+
+def test_leaks_take_one_python_worker_a_task(spark, monkeypatch):
+    from crowdlane.llm import decontaminate
+
+    stored, store = [], decontaminate.store
+    monkeypatch.setattr(decontaminate, "store", lambda df, label: stored.append(df) or store(df, label))
+    item = sentence(40, 5)
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    found = find_leaks(docs(spark, [(7, f"{sentence(50, 1)} {item}", "a"), (8, sentence(50, 2), "a")]), items)
+    assert [r.doc_id for r in found.collect()] == [7]
+    assert stored and max(python_steps(df) for df in [*stored, found]) == 1
+
+
 def test_quality(spark, odd, empty):
     labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", F.col("quality").alias("y"))
     got = queries.op6_quality_classifier(spark, SF).join(labels, "doc_id").toPandas()
