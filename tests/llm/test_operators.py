@@ -322,6 +322,44 @@ def test_pipeline_drops_every_line_at_the_limit(spark):
     assert sorted(r.doc_id for r in kept) == list(range(0, 600, 2))
 
 
+def test_crowded_keys_are_compared_in_step(monkeypatch):
+    """Keys of more than SIDE lines: as many steps as the largest has lines, not as all have, and the same components."""
+    import numpy as np
+
+    from crowdlane.llm import line_dedup as ld
+    from crowdlane.llm.components import stars
+
+    rng, calls = np.random.default_rng(7), []
+    sizes = [70, 200, 3, 65, *[100] * 40, 1, 150]
+    key = np.repeat(np.arange(len(sizes)) * 5, sizes)
+    n = np.concatenate([np.sort(rng.integers(8, 300, x)) for x in sizes])
+    # lines of few families, some bits apart, so that some link over others only
+    sketch = rng.integers(0, 1 << 63, (9, 4), dtype=np.uint64)[rng.integers(0, 9, len(key))]
+    for _ in range(12):
+        sketch[np.arange(len(key)), rng.integers(0, 4, len(key))] ^= np.uint64(1) << rng.integers(0, 64, len(key), dtype=np.uint64)
+    wide = n > ld.WIDE
+    more = rng.integers(0, 1 << 63, (3, ld.WIDER // 64), dtype=np.uint64)[rng.integers(0, 3, int(wide.sum()))]
+    allowed = np.floor((1 - 0.8) * n + 1e-9).astype(int)
+    place, links = np.cumsum(wide) - 1, []
+    for i in range(len(key)):
+        for j in range(i + 1, len(key)):
+            if key[i] != key[j]:
+                break
+            most = max(allowed[i], allowed[j])
+            near = n[j] - n[i] <= most and np.bitwise_count(sketch[i] ^ sketch[j]).sum(dtype=int) <= 2 * most
+            if near and wide[i] and wide[j]:
+                near = np.bitwise_count(more[place[i]] ^ more[place[j]]).sum(dtype=int) <= 2 * most
+            if near:
+                links.append((i, j))
+    want = stars(*np.array(links).T)
+    was = ld.Sketched.near
+    monkeypatch.setattr(ld.Sketched, "near", lambda *x: calls.append(1) or was(*x))
+    got = ld._near(key, np.arange(len(key)) + 1000, ld.Sketched(n, sketch, wide, more, 0.8))
+    assert 300 < len(want[0]) < len(key) - len(sizes)
+    assert [(x - 1000).tolist() for x in got] == [x.tolist() for x in want]
+    assert len(calls) <= ld.SIDE + max(sizes)
+
+
 def test_edit_distance():
     assert edit_distance("kitten", "sitting") == 3 and edit_distance("", "abc") == 3
     assert edit_distance([1, 2, 3, 4], [2, 3, 5, 4]) == 2
