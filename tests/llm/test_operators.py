@@ -322,6 +322,37 @@ def test_pipeline_drops_every_line_at_the_limit(spark):
     assert sorted(r.doc_id for r in kept) == list(range(0, 600, 2))
 
 
+@pytest.mark.parametrize("crowd", [1024, 1])
+def test_pipeline_compares_lines_without_doc_id(spark, monkeypatch, crowd):
+    """Rows without doc_id lose the lines that repeat others, and come after all that have one."""
+    import corpus_pipeline
+
+    from crowdlane.llm import line_dedup as ld
+
+    monkeypatch.setattr(ld, "CROWD", crowd)  # groups are compared in one task, or in tiles
+    line = [sentence(30, 100 + i) for i in range(8)]
+    near = [" ".join("other" if at % 10 == 3 else w for at, w in enumerate(x.split())) for x in line]
+    rows = [
+        (None, f"{line[0]}\n{line[1]}\n{line[2]}\nAll rights reserved.\n--- !"),
+        (None, f"{near[1]}\n{line[3]}"),  # without doc_id the least line_no keeps
+        (None, f"{near[4]}\n{line[5]}"),
+        (-5, line[4]),
+        (9, f"{line[6]}\n{near[0]}"),
+        (2**63 - 1, f"{line[5]}\nall rights reserved"),
+        (None, line[7]),  # rows that agree in doc_id and text are one
+        (None, line[7]),
+        (None, None),
+        (3, None),
+    ]
+    table = docs(spark, [(i, t, "a") for i, t in rows]).withColumn("n_chars", F.length("text").cast("bigint"))
+    got = corpus_pipeline.line_dedup(spark, table, "")
+    assert got.columns == table.columns
+    kept = [f"{line[2]}\n--- !", rows[1][1], line[7], line[7], None]
+    want = [(None, t) for t in kept] + [rows[i] for i in (3, 4, 5, 9)]
+    found = Counter((r.doc_id, r.text, r.n_chars) for r in got.collect())
+    assert found == Counter((i, t, len(t) if t is not None else None) for i, t in want)
+
+
 def test_crowded_keys_are_compared_in_step(monkeypatch):
     """Keys of more than SIDE lines: as many steps as the largest has lines, not as all have, and the same components."""
     import numpy as np
